@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import media, mixing, secrets
+from quarrymill.llm import media, mixing, secrets, simhash
 from quarrymill.llm.common import table
 
 
@@ -33,5 +33,10 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth")
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mixing, op5_secret_scan, op8_media_columns)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op4_source_mixing, op5_secret_scan, op8_media_columns, op10_simhash)}
 ORACLES: dict[str, str] = {}
