@@ -5,10 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import media, mixing, secrets, simhash
+from quarrymill.llm import lines, media, mixing, pieces, quality, secrets, simhash
 from quarrymill.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.deduplicated(table(spark, sf_dir, "documents"), counts=True)
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+#: Lines that are not only white space; runs of two of them; a line goes if a run with it also starts earlier.
+OP1_SQL = r"""
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS x FROM documents),
+pos AS (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS p FROM split),
+part AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS i FROM pos WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+runs AS (SELECT doc_id, i, line, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM part),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY line, nxt ORDER BY doc_id, i) AS k FROM runs WHERE nxt IS NOT NULL),
+gone AS (SELECT doc_id, i FROM firsts WHERE k > 1 UNION SELECT doc_id, i + 1 FROM firsts WHERE k > 1),
+marked AS (SELECT pos.doc_id, pos.p, pos.line, part.i IS NOT NULL AS takes, gone.i IS NOT NULL AS goes
+  FROM pos LEFT JOIN part USING (doc_id, p) LEFT JOIN gone ON gone.doc_id = pos.doc_id AND gone.i = part.i),
+per AS (SELECT doc_id, count(*) FILTER (takes) AS n_lines, count(*) FILTER (goes) AS n_removed,
+  coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT goes), '') AS kept FROM marked GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  CASE WHEN text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256 FROM split LEFT JOIN per USING (doc_id)
+""".replace("\\\\", "\\")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
 
@@ -33,10 +60,18 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the digest of what decoding them gives back."""
+    model = pieces.Model.read()
+    coded = pieces.encode(table(spark, sf_dir, "documents"), model)
+    back = pieces.decode(coded.selectExpr("struct(doc_id, ids) AS doc_id", "ids"), model)
+    return back.select("doc_id.doc_id", F.size("doc_id.ids").cast("long").alias("n_tokens"), F.col("doc_id.ids").alias("ids"), F.sha2(F.col("text"), 256).alias("decoded_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mixing, op5_secret_scan, op8_media_columns, op10_simhash)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality, op4_source_mixing, op5_secret_scan, op8_media_columns, op9_sentencepiece, op10_simhash)}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}
