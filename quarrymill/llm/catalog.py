@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import lines, media, mixing, pieces, quality, secrets, simhash
+from quarrymill.llm import balltree, chat, lines, media, mixing, pieces, quality, secrets, simhash
 from quarrymill.llm.common import table
 
 
@@ -55,6 +55,36 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("secrets")).alias("spans"))
 
 
+def op6_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0").withColumn("rank", F.col("rank").cast("int"))
+
+
+OP6_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.windows(turns.unionByName(own)))
+
+
+OP7_TURNS_SQL = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256 FROM t GROUP BY conv_id
+"""
+
+
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = media.media_columns(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth")
@@ -73,5 +103,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality, op4_source_mixing, op5_secret_scan, op8_media_columns, op9_sentencepiece, op10_simhash)}
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality, op4_source_mixing, op5_secret_scan, op6_ball_tree, op7_chat_format, op8_media_columns, op9_sentencepiece, op10_simhash)}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op6_ball_tree": OP6_SQL}
