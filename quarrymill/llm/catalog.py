@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import balltree, chat, lines, media, mixing, pieces, quality, secrets, simhash
+from quarrymill.llm import balltree, chat, lines, media, mixing, pieces, quality, secrets, simhash, substrings
 from quarrymill.llm.common import table
 
 
@@ -31,6 +31,11 @@ SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::
 """.replace("\\\\", "\\")
 
 
+def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.deduplicated(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -103,5 +108,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality, op4_source_mixing, op5_secret_scan, op6_ball_tree, op7_chat_format, op8_media_columns, op9_sentencepiece, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_recompression, op3_quality, op4_source_mixing, op5_secret_scan, op6_ball_tree, op7_chat_format, op8_media_columns, op9_sentencepiece, op10_simhash)}
 ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op6_ball_tree": OP6_SQL}
