@@ -62,11 +62,11 @@ def compressed(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.where(joins[starts], _mixed(names[starts] * np.uint64(3) + _mixed(after)), names[starts])
 
 
-def window_symbols(names: np.ndarray, window: int = WINDOW, chain: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
-    """(interior symbol, holds a run) of every window."""
+def window_symbols(names: np.ndarray, window: int = WINDOW, chain: int = CHAIN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(interior symbol, its place, holds a run) of every window."""
     n = len(names) - window + 1
     if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, bool)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
     starts, symbols = compressed(names)
     m = max(0, len(symbols) - chain + 1)
     chains = np.zeros(m, np.uint64)
@@ -76,7 +76,7 @@ def window_symbols(names: np.ndarray, window: int = WINDOW, chain: int = CHAIN)
     runs = np.r_[0, np.cumsum(names[:-1] == names[1:])]
     held = runs[window - 1 :][:n] > runs[:n]
     # Without a run inside the chain always ends within the window.
-    return chains[np.minimum(at, m - 1)] if m else np.zeros(n, np.uint64), held
+    return chains[np.minimum(at, m - 1)] if m else np.zeros(n, np.uint64), at, held
 
 
 def _check(window: int, chain: int) -> None:
@@ -93,9 +93,9 @@ def repeats(texts: DataFrame, window: int = WINDOW, chain: int = CHAIN) -> DataF
         for batch in batches:
             for part in pieces(batch, "text"):
                 for doc, text in zip(part.column("doc_id"), as_bytes(part, "text"), strict=True):
-                    found, _ = window_symbols(word_names(text.split()), window, chain)
+                    found, at, _ = window_symbols(word_names(text.split()), window, chain)
                     # Neighbouring windows share a symbol: it counts once for each place.
-                    found = found[np.r_[True, found[1:] != found[:-1]]] if len(found) else found
+                    found = found[np.r_[True, at[1:] != at[:-1]]] if len(found) else found
                     names, n = np.unique(found, return_counts=True)
                     ids = pa.array([doc.as_py()] * len(names), doc.type)
                     yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n.astype(np.int32)), ids], ["symbol", "n", "doc_id"])
@@ -112,7 +112,7 @@ def repeats(texts: DataFrame, window: int = WINDOW, chain: int = CHAIN) -> DataF
             for part in pieces(batch, "text"):
                 for r, text in enumerate(as_bytes(part, "text")):
                     words = text.split()
-                    found, held = window_symbols(word_names(words), window, chain)
+                    found, _, held = window_symbols(word_names(words), window, chain)
                     mine = part.column("shared")[r].values
                     known = np.empty(0, np.int64) if mine is None else mine.to_numpy()
                     at = np.flatnonzero(held | np.isin(found.view(np.int64), known))
