@@ -38,6 +38,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(table: DataFrame) -> None:
+    """Delete the files of a table from `written` that nothing reads any more."""
+    spark = table.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pieces(batch: pa.RecordBatch, column: str, most: int = SUB_BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold about `most` bytes; a longer text stands alone."""
     at, size = 0, 0

@@ -29,10 +29,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, pieces, written
+from quarrymill.llm.common import as_bytes, dropped, pieces, written
 
 WINDOW = 20
-CHAIN = 7
+CHAIN = 4
 _EDGE = 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -72,11 +72,19 @@ def window_symbols(names: np.ndarray, window: int = WINDOW, chain: int = CHAIN)
     chains = np.zeros(m, np.uint64)
     for j in range(chain):
         chains = _mixed(chains + symbols[j : j + m] + np.uint64(j + 1))
-    at = np.searchsorted(starts, np.arange(n) + _EDGE)
+    # Chains by the word that they start at; a chain is at most two words a symbol long.
+    top = np.uint64(0xFFFFFFFFFFFFFFFF)
+    by_word = np.full(len(names), top)
+    by_word[starts[:m]] = chains
+    least, at = np.full(n, top), np.zeros(n, np.int64)
+    for j in range(_EDGE, window - _EDGE - 2 * chain + 1):
+        own = by_word[j : j + n]
+        lower = own < least
+        least[lower] = own[lower]
+        at[lower] = np.flatnonzero(lower) + j
     runs = np.r_[0, np.cumsum(names[:-1] == names[1:])]
     held = runs[window - 1 :][:n] > runs[:n]
-    # Without a run inside the chain always ends within the window.
-    return chains[np.minimum(at, m - 1)] if m else np.zeros(n, np.uint64), at, held
+    return least, at, held
 
 
 def _check(window: int, chain: int) -> None:
@@ -129,6 +137,7 @@ def repeats(texts: DataFrame, window: int = WINDOW, chain: int = CHAIN) -> DataF
                         yield pa.RecordBatch.from_arrays([sums, pa.array([doc.as_py()] * len(own), doc.type), pa.array(own.astype(np.int32))], ["digest", "doc_id", "pos"])
 
     found = written(joined.mapInArrow(windows, f"digest binary, doc_id {key}, pos int"), "recompression-windows")
+    dropped(named)
     place = F.struct("doc_id", "pos")
     first = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select(F.col("digest").alias("f_digest"), "first")
     return found.join(first, F.col("digest") == F.col("f_digest")).where(place > F.col("first")).select("doc_id", "pos")
