@@ -20,7 +20,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -28,7 +27,7 @@ from quarrymill.llm.common import pieces
 
 MARK = "▁"
 #: Remembered parts; the memory is emptied beyond it.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _UNKNOWN_COST = 10.0
 #: Stands for a marker of the text itself while parts are cut; no text can hold a lone surrogate.
@@ -79,11 +78,11 @@ class DoubleArray:
             check[at] = slot[i]
         for i in range(len(children)):
             bases[slot[i]], out[slot[i]] = base[i], value[i]
-        self._lists = bases, check, out
+        self.arrays = bases, check, out
 
     def prefixes(self, text: bytes, at: int) -> Iterator[tuple[int, int]]:
         """(end, number of the key) for every key that text[at:] starts with, shortest first."""
-        base, check, value = self._lists
+        base, check, value = self.arrays
         state = 0
         for i in range(at, len(text)):
             to = base[state] + text[i] + 1
@@ -132,22 +131,35 @@ class Codec:
     def viterbi(self, part: str) -> list[int]:
         data = part.encode("utf-8", "surrogatepass")
         n = len(data)
-        best, back = [-np.inf] * (n + 1), [(0, -1)] * (n + 1)
+        base, check, value = self.trie.arrays
+        scores, least = self.scores, -float("inf")
+        best, back, piece = [least] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
         for i in range(n):
-            if best[i] == -np.inf or data[i] & 0xC0 == 0x80:
+            here = best[i]
+            if here == least:
                 continue
-            width = 1 if data[i] < 0x80 else 2 if data[i] < 0xE0 else 3 if data[i] < 0xF0 else 4
-            single = False
-            for end, k in self.trie.prefixes(data, i):
-                single |= end == i + width
-                if (s := best[i] + self.scores[k]) > best[end]:
-                    best[end], back[end] = s, (i, k)
-            if not single and (s := best[i] + self.unknown) > best[i + width]:
-                best[i + width], back[i + width] = s, (i, -1)
+            # The trie is walked here without a call for each piece.
+            lead = data[i]
+            char_end = i + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
+            state, end, single = 0, i, False
+            while end < n:
+                to = base[state] + data[end] + 1
+                if check[to] != state:
+                    break
+                state = to
+                end += 1
+                k = value[state]
+                if k >= 0:
+                    single = single or end == char_end
+                    s = here + scores[k]
+                    if s > best[end]:
+                        best[end], back[end], piece[end] = s, i, k
+            if not single and here + self.unknown > best[char_end]:
+                best[char_end], back[char_end], piece[char_end] = here + self.unknown, i, -1
         out: list[int] = []
         while n:
-            i, k = back[n]
+            i, k = back[n], piece[n]
             raw = data[i:n]
             if k >= 0:
                 out.append(self.numbers[k])
