@@ -99,8 +99,8 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of what decoding them gives back."""
     model = pieces.Model.read()
     coded = pieces.encode(table(spark, sf_dir, "documents"), model)
-    back = pieces.decode(coded.selectExpr("struct(doc_id, ids) AS doc_id", "ids"), model)
-    return back.select("doc_id.doc_id", F.size("doc_id.ids").cast("long").alias("n_tokens"), F.col("doc_id.ids").alias("ids"), F.sha2(F.col("text"), 256).alias("decoded_sha256"))
+    back = pieces.decode(coded, model, keep_ids=True)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("text"), 256).alias("decoded_sha256"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,10 +16,13 @@ are encoded whole; equal texts have equal ids; repeated rows stay rows; an empty
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -27,11 +30,16 @@ from quarrymill.llm.common import pieces
 
 MARK = "▁"
 #: Remembered parts; the memory is emptied beyond it.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
+#: Cells (parts times the length of the longest) that are solved together; a longer part stands alone.
+CELLS = 1 << 18
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _UNKNOWN_COST = 10.0
 #: Stands for a marker of the text itself while parts are cut; no text can hold a lone surrogate.
 _OWN_MARK = "\ud800"
+_OWN_BYTES = _OWN_MARK.encode("utf-8", "surrogatepass")
+#: Bytes of the character that a byte leads.
+_CHAR_BYTES = np.array([1] * 192 + [2] * 32 + [3] * 16 + [4] * 16)
 
 
 class DoubleArray:
@@ -118,104 +126,177 @@ class Model:
 
 class Codec:
     def __init__(self, model: Model):
-        self.numbers = [i for i, k in enumerate(model.kinds) if k == "piece"]
-        self.trie = DoubleArray([model.pieces[i].encode() for i in self.numbers])
-        self.scores = [model.scores[i] for i in self.numbers]
-        self.unknown = min(self.scores, default=0.0) - _UNKNOWN_COST
-        self.byte_ids = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True)) if k == "byte"}
-        if len(self.byte_ids) != 256:
+        numbers = [i for i, k in enumerate(model.kinds) if k == "piece"]
+        self.trie = DoubleArray([model.pieces[i].encode() for i in numbers])
+        self.tables = tuple(np.array(x, np.int32) for x in self.trie.arrays)
+        self.longest = max((len(model.pieces[i].encode()) for i in numbers), default=0)
+        self.numbers = np.array(numbers, np.int32)
+        self.scores = np.array([model.scores[i] for i in numbers], float)
+        self.unknown = min(self.scores.tolist(), default=0.0) - _UNKNOWN_COST
+        byte_ids = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True)) if k == "byte"}
+        if len(byte_ids) != 256:
             raise ValueError("a model with all 256 byte pieces is needed")
-        self.bytes_of = [b"" if k == "control" else bytes([int(p[3:5], 16)]) if k == "byte" else p.replace(MARK, " ").encode() for p, k in zip(model.pieces, model.kinds, strict=True)]
-        self.memory: dict[str, list[int]] = {}
-
-    def viterbi(self, part: str) -> list[int]:
-        data = part.encode("utf-8", "surrogatepass")
-        n = len(data)
-        base, check, value = self.trie.arrays
-        scores, least = self.scores, -float("inf")
-        best, back, piece = [least] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
-        best[0] = 0.0
-        for i in range(n):
-            here = best[i]
-            if here == least:
-                continue
-            # The trie is walked here without a call for each piece.
-            lead = data[i]
-            char_end = i + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
-            state, end, single = 0, i, False
-            while end < n:
-                to = base[state] + data[end] + 1
-                if check[to] != state:
+        self.byte_ids = np.array([byte_ids[c] for c in range(256)], np.int32)
+        self.bytes_of = pa.array([b"" if k == "control" else bytes([int(p[3:5], 16)]) if k == "byte" else p.replace(MARK, " ").encode() for p, k in zip(model.pieces, model.kinds, strict=True)], pa.large_binary())
+        #: part without its first marker -> its ids as native 32-bit integers
+        self.memory: dict[str, bytes] = {}
+
+    def viterbi(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of each part, all parts at once: a step takes every part from one place to one end."""
+        base, check, value = self.tables
+        n, size = len(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        width = int(size.max(initial=0))
+        # Places past a part's end have code 0, which no state has a child for.
+        codes = np.zeros((n, width), np.int32)
+        codes[np.arange(width) < size[:, None]] = np.frombuffer(b"".join(parts), np.uint8).astype(np.int32) + 1
+        wide = width + 1
+        best, back, piece = np.full(n * wide, -np.inf), np.zeros(n * wide, np.int32), np.full(n * wide, -1, np.int32)
+        best[::wide] = 0.0
+        for i in range(width):
+            rows = np.flatnonzero((best[i::wide] > -np.inf) & (size > i))
+            here = best[rows * wide + i]
+            chars = _CHAR_BYTES[codes[rows, i] - 1]
+            single = np.zeros(len(rows), bool)
+            live, state = np.arange(len(rows)), np.zeros(len(rows), np.int32)
+            for end in range(i + 1, min(width, i + self.longest) + 1):
+                to = base[state] + codes[rows[live], end - 1]
+                on = check[to] == state
+                live, state = live[on], to[on]
+                if not len(live):
                     break
-                state = to
-                end += 1
                 k = value[state]
-                if k >= 0:
-                    single = single or end == char_end
-                    s = here + scores[k]
-                    if s > best[end]:
-                        best[end], back[end], piece[end] = s, i, k
-            if not single and here + self.unknown > best[char_end]:
-                best[char_end], back[char_end], piece[char_end] = here + self.unknown, i, -1
-        out: list[int] = []
-        while n:
-            i, k = back[n], piece[n]
-            raw = data[i:n]
-            if k >= 0:
-                out.append(self.numbers[k])
-            else:
-                raw = MARK.encode() if raw == _OWN_MARK.encode("utf-8", "surrogatepass") else raw
-                out.extend(self.byte_ids[c] for c in reversed(raw))
-            n = i
-        return out[::-1]
+                hit = np.flatnonzero(k >= 0)
+                k, own = k[hit], live[hit]
+                single[own] |= chars[own] == end - i
+                score, cell = here[own] + self.scores[k], rows[own] * wide + end
+                won = np.flatnonzero(score > best[cell])
+                cell = cell[won]
+                best[cell], back[cell], piece[cell] = score[won], i, k[won]
+            lone = np.flatnonzero(~single)
+            score, cell = here[lone] + self.unknown, rows[lone] * wide + i + chars[lone]
+            won = np.flatnonzero(score > best[cell])
+            best[cell[won]] = score[won]
+            # An unknown character is left byte by byte; no piece ends inside it.
+            first = rows[lone[won]] * wide + i
+            for d in range(1, 5):
+                inside = first[chars[lone[won]] >= d] + d
+                back[inside], piece[inside] = i + d - 1, -1
+        return self._traced(parts, size, back, piece, wide)
 
-    def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        marked = MARK + text.replace(MARK, _OWN_MARK).replace(" ", MARK)
-        out: list[int] = []
+    def _traced(self, parts, size, back, piece, wide: int) -> list[bytes]:
+        """From the ends back to the starts."""
+        n = len(parts)
+        raw = np.zeros((n, wide), np.uint8)
+        own = [p.replace(_OWN_BYTES, MARK.encode()) for p in parts]
+        raw[:, 1:][np.arange(wide - 1) < size[:, None]] = np.frombuffer(b"".join(own), np.uint8)
+        raw = raw.ravel()
+        out, many = np.zeros((n, wide), np.int32), np.zeros(n, np.int64)
+        rows, at = np.arange(n), size.copy()
+        for step in range(1, wide + 1):
+            rows = rows[at[rows] > 0]
+            if not len(rows):
+                break
+            cell = rows * wide + at[rows]
+            k = piece[cell]
+            ids = self.byte_ids[raw[cell]]
+            known = k >= 0
+            ids[known] = self.numbers[k[known]]
+            out[rows, wide - step] = ids
+            many[rows] += 1
+            at[rows] = back[cell]
+        flat = out.tobytes()
+        return [flat[4 * (end - k) : 4 * end] for end, k in zip((wide * np.arange(1, n + 1)).tolist(), many.tolist(), strict=True)]
+
+    def learn(self, new: list[str]) -> None:
+        """Remember parts; those of about one length are solved together."""
+        coded = [(MARK + p.replace(" ", MARK)).encode("utf-8", "surrogatepass") for p in new]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        order = np.argsort(sizes, kind="stable")
+        sizes, order = sizes[order], order.tolist()
+        lo = 0
+        while lo < len(order):
+            widest = max(8, int(sizes[lo]) * 5 // 4)
+            hi = min(int(np.searchsorted(sizes, widest, "right")), lo + max(1, CELLS // widest))
+            own = order[lo:hi]
+            self.memory.update(zip([new[i] for i in own], self.viterbi([coded[i] for i in own]), strict=True))
+            lo = hi
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as native 32-bit integers."""
+        cut = [_parts(t) if t else [] for t in texts]
         memory = self.memory
-        for part in re.findall(f"{MARK}+[^{MARK}]*", marked):
-            ids = memory.get(part)
-            if ids is None:
-                ids = self.viterbi(part)
-                if len(part) <= 64:
-                    if len(memory) >= REMEMBERED:
-                        memory.clear()
-                    memory[part] = ids
-            out += ids
+        new = set().union(*cut).difference(memory)
+        if len(memory) + len(new) > REMEMBERED:
+            memory.clear()
+            new = set().union(*cut)
+        self.learn(list(new))
+        out = [b"".join(map(memory.__getitem__, c)) for c in cut]
+        if len(memory) > REMEMBERED:
+            memory.clear()
         return out
 
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed([text])[0], np.int32).tolist()
+
+    def decoded(self, ids: pa.ListArray) -> list[str | None]:
+        """The texts of lists of ids."""
+        raw = self.bytes_of.take(ids.flatten())
+        ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset :] if len(raw) else np.zeros(1, np.int64)
+        data = memoryview(raw.buffers()[2] or b"") if len(raw) else memoryview(b"")
+        sizes = pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        stops = ends[np.cumsum(sizes)].tolist()
+        starts = [int(ends[0]), *stops[:-1]]
+        nulls = ids.is_null().to_pylist()
+        return [None if z else str(data[a:b], "utf-8", "replace")[1:] for a, b, z in zip(starts, stops, nulls, strict=True)]
+
     def decode(self, ids: list[int]) -> str:
-        return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")[1:]
+        return self.decoded(pa.array([ids], pa.list_(pa.int32())))[0]
+
+
+def _parts(text: str) -> list[str]:
+    """What follows each marker that starts a run of markers, up to the next run."""
+    text = text.replace(MARK, _OWN_MARK)
+    if "  " not in text and text[0] != " ":
+        return text.split(" ")
+    return [p[1:] for p in re.findall(" +[^ ]*", " " + text)]
+
+
+@lru_cache(maxsize=2)
+def _codec(pickled: bytes) -> Codec:
+    """A Python worker keeps its codec, and what it remembers, from task to task."""
+    return Codec(pickle.loads(pickled))
 
 
 def encode(docs: DataFrame, model: Model | None = None, id_col="doc_id", text_col="text", max_batch_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, ids array<int>: one row per row of docs. The model (its size is the vocabulary's) goes with the task."""
-    model = model or Model.read()
+    sent = pickle.dumps(model or Model.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        codec = _codec(sent)
         for batch in batches:
             for part in pieces(batch, "text", max_batch_bytes):
-                rows = [None if t is None else codec.encode(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "ids"])
+                rows = codec.packed(part.column("text").to_pylist())
+                sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+                ends = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+                ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(rows), np.int32)), mask=part.column("text").is_null())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
 
     picked = docs.selectExpr(f"`{id_col}` AS doc_id", f"CAST(`{text_col}` AS STRING) AS text")
     return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
-def decode(coded: DataFrame, model: Model | None = None, id_col="doc_id", ids_col="ids") -> DataFrame:
-    """doc_id, text: the texts back from their ids."""
-    model = model or Model.read()
+def decode(coded: DataFrame, model: Model | None = None, id_col="doc_id", ids_col="ids", keep_ids: bool = False) -> DataFrame:
+    """doc_id, text: the texts back from their ids; with keep_ids also ids."""
+    sent = pickle.dumps(model or Model.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        codec = _codec(sent)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                rows = [None if x is None else codec.decode(x) for x in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.string())], ["doc_id", "text"])
+                ids = part.column("ids")
+                more = [ids] if keep_ids else []
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(codec.decoded(ids), pa.string()), *more], ["doc_id", "text", "ids"][: 2 + len(more)])
 
     picked = coded.selectExpr(f"`{id_col}` AS doc_id", f"`{ids_col}` AS ids")
-    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, text string")
+    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, text string" + (", ids array<int>" if keep_ids else ""))
