@@ -46,6 +46,11 @@ def dropped(table: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Have Spark's cleaner delete the shuffle files of plans that have run and that nothing refers to any more."""
+    spark._jvm.System.gc()
+
+
 def pieces(batch: pa.RecordBatch, column: str, most: int = SUB_BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold about `most` bytes; a longer text stands alone."""
     at, size = 0, 0

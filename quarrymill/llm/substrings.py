@@ -9,7 +9,9 @@ next names stand for CHAIN symbols in a row: the first chain from the third word
 window. A window can only repeat if that symbol is shared (stands twice), or if it holds a run.
 
 Spark counts the symbols, joins the shared ones back, and verifies the windows that they reveal by a 128-bit
-digest of the words themselves: of each digest the first place stays. Copies of a text are one row before that.
+digest of the words themselves: of each digest the first place stays. Copies of a text are one row before that,
+and a batch sends only the first place of each digest to the shuffle, so that a very common passage is a row a
+batch; its other places are known to be later copies.
 
 Only one round joins words: in a window of 20 words a second would leave no interior symbol that is sure to be
 the same at all places. The following names are chains, not pairs.
@@ -21,7 +23,9 @@ are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, dropped, pieces, written
+from quarrymill.llm.common import as_bytes, dropped, pieces, swept, written
 
 WINDOW = 20
 CHAIN = 4
@@ -63,10 +67,10 @@ def compressed(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_symbols(names: np.ndarray, window: int = WINDOW, chain: int = CHAIN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(interior symbol, its place, holds a run) of every window."""
+    """(interior symbol, stands at another place than the last window's, holds a run) of every window."""
     n = len(names) - window + 1
     if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
+        return np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, bool)
     starts, symbols = compressed(names)
     m = max(0, len(symbols) - chain + 1)
     chains = np.zeros(m, np.uint64)
@@ -76,15 +80,41 @@ def window_symbols(names: np.ndarray, window: int = WINDOW, chain: int = CHAIN)
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
     by_word = np.full(len(names), top)
     by_word[starts[:m]] = chains
-    least, at = np.full(n, top), np.zeros(n, np.int64)
-    for j in range(_EDGE, window - _EDGE - 2 * chain + 1):
-        own = by_word[j : j + n]
-        lower = own < least
-        least[lower] = own[lower]
-        at[lower] = np.flatnonzero(lower) + j
+    # The least chain that starts in the interior: minima of 1, 2, 4, ... places, then two that overlap.
+    span = window - 2 * _EDGE - 2 * chain + 1
+    least, reach = by_word[_EDGE : _EDGE + n + span - 1], 1
+    while reach < span:
+        step = min(reach, span - reach)
+        least, reach = np.minimum(least[:-step], least[step:]), reach + step
+    # A window's leftmost least chain is not the last window's if it is another one or that one lies before it.
+    fresh = np.r_[True, (least[1:] != least[:-1]) | (by_word[_EDGE : _EDGE + n - 1] == least[:-1])]
     runs = np.r_[0, np.cumsum(names[:-1] == names[1:])]
     held = runs[window - 1 :][:n] > runs[:n]
-    return least, at, held
+    return least, fresh, held
+
+
+@dataclass
+class BatchWords:
+    #: The words of all texts one after another, where each text's start, and the windows' first words.
+    all: list[bytes]
+    starts: np.ndarray
+    windows: np.ndarray
+
+
+def batch_symbols(texts: list[bytes], window: int, chain: int) -> tuple[BatchWords, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every window inside one text: its interior symbol, whether the symbol's place is new in its text, its text's number, whether it holds a run.
+
+    The texts go through a round as one sequence: what stands before or after a window does not change its interior.
+    """
+    split = [t.split() for t in texts]
+    words = list(itertools.chain.from_iterable(split))
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    starts = np.cumsum(sizes) - sizes
+    found, fresh, held = window_symbols(word_names(words), window, chain)
+    doc = np.repeat(np.arange(len(split)), sizes)[: len(found)]
+    own = np.flatnonzero(np.arange(len(found)) + window <= (starts + sizes)[doc])
+    fresh[starts[starts < len(fresh)]] = True
+    return BatchWords(words, starts, own), found[own], fresh[own], doc[own], held[own]
 
 
 def _check(window: int, chain: int) -> None:
@@ -93,54 +123,95 @@ def _check(window: int, chain: int) -> None:
 
 
 def repeats(texts: DataFrame, window: int = WINDOW, chain: int = CHAIN) -> DataFrame:
-    """(doc_id, pos): windows that start earlier too. texts: doc_id, text, distinct by text."""
+    """(doc_id, pos, n): n windows from pos on that start earlier too. texts: doc_id, text, distinct by text."""
     _check(window, chain)
     key = texts.schema["doc_id"].dataType.simpleString()
 
     def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                for doc, text in zip(part.column("doc_id"), as_bytes(part, "text"), strict=True):
-                    found, at, _ = window_symbols(word_names(text.split()), window, chain)
-                    # Neighbouring windows share a symbol: it counts once for each place.
-                    found = found[np.r_[True, at[1:] != at[:-1]]] if len(found) else found
-                    names, n = np.unique(found, return_counts=True)
-                    ids = pa.array([doc.as_py()] * len(names), doc.type)
-                    yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n.astype(np.int32)), ids], ["symbol", "n", "doc_id"])
+                _, found, fresh, doc, _ = batch_symbols(as_bytes(part, "text"), window, chain)
+                # Neighbouring windows share a symbol: it counts once for each place.
+                found, doc = found[fresh], doc[fresh]
+                order = np.lexsort((found, doc))
+                found, doc = found[order], doc[order]
+                first = np.flatnonzero(np.r_[True, (found[1:] != found[:-1]) | (doc[1:] != doc[:-1])][: len(found)])
+                n = np.diff(np.r_[first, len(found)])
+                yield pa.RecordBatch.from_arrays([pa.array(found[first].view(np.int64)), pa.array(n.astype(np.int32)), part.column("doc_id").take(pa.array(doc[first]))], ["symbol", "n", "doc_id"])
 
     named = texts.mapInArrow(symbols, f"symbol bigint, n int, doc_id {key}")
     named = written(named, "recompression-symbols")
+    swept(texts.sparkSession)
     shared = named.groupBy("symbol").agg(F.sum("n").alias("all")).where("all > 1").select(F.col("symbol").alias("s_symbol"))
     back = named.join(shared, F.col("symbol") == F.col("s_symbol"), "left_semi").groupBy("doc_id").agg(F.collect_list("symbol").alias("shared")).withColumnRenamed("doc_id", "s_id")
+    back = written(back, "recompression-shared")
+    dropped(named)
+    swept(texts.sparkSession)
     joined = texts.join(back, F.col("doc_id") == F.col("s_id"), "left").select("doc_id", "text", "shared")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             for part in pieces(batch, "text"):
-                for r, text in enumerate(as_bytes(part, "text")):
-                    words = text.split()
-                    found, _, held = window_symbols(word_names(words), window, chain)
-                    mine = part.column("shared")[r].values
-                    known = np.empty(0, np.int64) if mine is None else mine.to_numpy()
-                    at = np.flatnonzero(held | np.isin(found.view(np.int64), known))
-                    if not len(at):
-                        continue
-                    joined_ = b" ".join(words)
-                    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-                    lo = np.r_[0, ends[:-1]]
-                    view = memoryview(joined_)
-                    for c in range(0, len(at), 100_000):
-                        own = at[c : c + 100_000]
-                        sums = pa.array([digest(view[a:b]) for a, b in zip(lo[own].tolist(), (ends[own + window - 1] - 1).tolist(), strict=True)], pa.binary())
-                        doc = part.column("doc_id")[r]
-                        yield pa.RecordBatch.from_arrays([sums, pa.array([doc.as_py()] * len(own), doc.type), pa.array(own.astype(np.int32))], ["digest", "doc_id", "pos"])
-
-    found = written(joined.mapInArrow(windows, f"digest binary, doc_id {key}, pos int"), "recompression-windows")
-    dropped(named)
-    place = F.struct("doc_id", "pos")
-    first = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select(F.col("digest").alias("f_digest"), "first")
-    return found.join(first, F.col("digest") == F.col("f_digest")).where(place > F.col("first")).select("doc_id", "pos")
+                words, found, _, doc, held = batch_symbols(as_bytes(part, "text"), window, chain)
+                mine = part.column("shared")
+                counts = pa.compute.fill_null(pa.compute.list_value_length(mine), 0).to_numpy(zero_copy_only=False)
+                known = mine.flatten().to_numpy().view(np.uint64)
+                # Symbols by document, under one name; a collision only brings a window more to verify.
+                known = _mixed(known + _mixed(np.repeat(np.arange(len(counts)), counts).astype(np.uint64)))
+                at = np.flatnonzero(held | np.isin(_mixed(found + _mixed(doc.astype(np.uint64))), known))
+                if not len(at):
+                    continue
+                blob = memoryview(b" ".join(words.all))
+                ends = np.cumsum(np.fromiter(map(len, words.all), np.int64, len(words.all)) + 1)
+                pos, doc = words.windows[at], doc[at]
+                lo = np.where(pos > 0, ends[pos - 1], 0)
+                sums = np.frombuffer(b"".join([digest(blob[a:b]) for a, b in zip(lo.tolist(), (ends[pos + window - 1] - 1).tolist(), strict=True)]), np.uint64).reshape(-1, 2)
+                yield _combined(part.column("doc_id"), sums, doc, pos - words.starts[doc])
+
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each digest all places but the least, from sorted rows; a digest's rows may span batches."""
+        first = None
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            yield batch.take(pa.array(np.flatnonzero(n > 0))).select(["doc_id", "pos", "n"])
+            rows = batch.take(pa.array(np.flatnonzero(n == 0)))
+            if not rows.num_rows:
+                continue
+            if first is not None:
+                rows = pa.Table.from_batches([first, rows]).combine_chunks().to_batches()[0]
+            a, b, pos = (rows.column(c).to_numpy() for c in ("a", "b", "pos"))
+            head = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            of = np.repeat(head, np.diff(np.r_[head, len(a)]))
+            ids = rows.column("doc_id")
+            same = pa.compute.equal(ids, ids.take(pa.array(of))).to_numpy(zero_copy_only=False) & (pos == pos[of])
+            out = np.flatnonzero(~same)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(out)), pa.array(pos[out]), pa.array(np.ones(len(out), np.int32))], ["doc_id", "pos", "n"])
+            first = rows.take(pa.array(head[-1:]))
+
+    found = joined.mapInArrow(windows, f"a bigint, b bigint, doc_id {key}, pos int, n int")
+    return found.repartition("a").sortWithinPartitions("a", "b", "doc_id", "pos").mapInArrow(later, f"doc_id {key}, pos int, n int")
+
+
+def _combined(ids: pa.Array, sums: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """Map-side combine: (a, b, doc_id, pos, n) with the least place of each digest (a, b) in the batch, n = 0.
+
+    All other places are later copies already: they follow as runs of n places, under a name that spreads them.
+    """
+    rank = pa.compute.rank(ids, tiebreaker="dense").to_numpy().astype(np.int64)[doc]
+    order = np.lexsort((pos, rank, sums[:, 1], sums[:, 0]))
+    sums, rank, doc, pos = sums[order], rank[order], doc[order], pos[order]
+    first = np.flatnonzero(np.r_[True, (sums[1:] != sums[:-1]).any(axis=1)])
+    of = np.repeat(first, np.diff(np.r_[first, len(pos)]))
+    out = np.flatnonzero((rank != rank[of]) | (pos != pos[of]))
+    out = out[np.lexsort((pos[out], doc[out]))]
+    d, p = doc[out], pos[out]
+    run = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)][: len(p)])
+    n = np.r_[np.zeros(len(first), np.int32), np.diff(np.r_[run, len(p)]).astype(np.int32)]
+    doc, pos = np.r_[doc[first], d[run]], np.r_[pos[first], p[run]]
+    a = np.r_[sums[first, 0], _mixed(_mixed(d[run].astype(np.uint64)) + p[run].astype(np.uint64))]
+    b = np.r_[sums[first, 1], np.zeros(len(run), np.uint64)]
+    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), ids.take(pa.array(doc)), pa.array(pos.astype(np.int32)), pa.array(n)], ["a", "b", "doc_id", "pos", "n"])
 
 
 def deduplicated(docs: DataFrame, id_col="doc_id", text_col="text", window: int = WINDOW, chain: int = CHAIN) -> DataFrame:
@@ -150,22 +221,24 @@ def deduplicated(docs: DataFrame, id_col="doc_id", text_col="text", window: int
     first = digests.groupBy("d").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select(F.col("d").alias("c_d"), "first")
     copies = written(digests.join(first, F.col("d") == F.col("c_d")).where("doc_id > first").select(F.col("doc_id").alias("c_id")).distinct(), "recompression-copies")
     own = texts.join(copies, F.col("doc_id") == F.col("c_id"), "left_anti")
-    gone = repeats(own, window, chain).groupBy("doc_id").agg(F.collect_set("pos").alias("starts")).select(F.col("doc_id").alias("g_id"), "starts", F.lit(False).alias("whole"))
-    gone = gone.unionByName(copies.select(F.col("c_id").alias("g_id"), F.array().cast("array<int>").alias("starts"), F.lit(True).alias("whole")))
-    joined = texts.join(gone, F.col("doc_id") == F.col("g_id"), "left").select("doc_id", "text", "starts", "whole")
+    gone = repeats(own, window, chain).groupBy("doc_id").agg(F.collect_list(F.col("pos") * F.lit(1 << 32) + F.col("n")).alias("runs")).select(F.col("doc_id").alias("g_id"), "runs", F.lit(False).alias("whole"))
+    gone = gone.unionByName(copies.select(F.col("c_id").alias("g_id"), F.array().cast("array<bigint>").alias("runs"), F.lit(True).alias("whole")))
+    gone = written(gone, "recompression-gone")
+    swept(docs.sparkSession)
+    joined = texts.join(gone, F.col("doc_id") == F.col("g_id"), "left").select("doc_id", "text", "runs", "whole")
     key = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 rows = []
-                for text, starts, whole in zip(as_bytes(part, "text"), part.column("starts").to_pylist(), part.column("whole").to_pylist(), strict=True):
+                for text, runs, whole in zip(as_bytes(part, "text"), part.column("runs"), part.column("whole").to_pylist(), strict=True):
                     words = text.split()
                     change = np.zeros(len(words) + 1, np.int64)
-                    if starts:
-                        s = np.array(starts)
-                        change[s] += 1
-                        change[s + window] -= 1
+                    if runs.values is not None:
+                        code = runs.values.to_numpy()
+                        np.add.at(change, code >> 32, 1)
+                        np.add.at(change, (code >> 32) + (code & 0xFFFFFFFF) + window - 1, -1)
                     out = np.cumsum(change[:-1]) > 0
                     if whole and len(words) >= window:
                         out[:] = True
