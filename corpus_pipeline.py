@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import lines, mixing, pieces, quality, simhash
+from quarrymill.llm import lines, mixing, nearsets, pieces, quality
 from quarrymill.llm.common import scratch_path, table
 
 
@@ -20,7 +20,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.deduplicated(docs)
+    """Near copies are those of Jaccard 0.8 of five-word shingles, which op10's SimHash of three words is not made for."""
+    return nearsets.deduplicated(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

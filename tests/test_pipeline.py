@@ -1,0 +1,68 @@
+"""The pipeline's own stages against brute force."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def shingles(text):
+    x = (text or "").lower().split()
+    return {tuple(x[j : j + 5]) for j in range(max(1, len(x) - 4))} if x else set()
+
+
+def brute_near(rows, least=0.8):
+    """The ids that stay: the first of each component of the pairs of Jaccard `least`."""
+    sets = {i: shingles(text) for i, text in rows}
+    ids = sorted(sets)
+    root = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for i in ids:
+            for j in ids:
+                a, b = sets[i], sets[j]
+                if root[j] < root[i] and (a == b or len(a & b) >= least * len(a | b)):
+                    root[i], changed = root[j], True
+    return {i for i in ids if root[i] == i}
+
+
+@pytest.fixture(scope="module")
+def near_rows():
+    """40 texts with copies of 1 to 12 changed words (Jaccard 0.4 to 0.97), and odd texts."""
+    rng = random.Random(7)
+    rows = [(0, None), (1, ""), (2, " \n"), (3, "two words"), (4, "Two  WORDS"), (5, "one more short text")]
+    for base in range(40):
+        text = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        rows.append((len(rows), " ".join(text)))
+        for changes in rng.sample(range(1, 13), 3):
+            copy = list(text)
+            for at in rng.sample(range(len(copy)), changes):
+                copy[at] = f"x{rng.randrange(5000)}"
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+def test_near_stage(spark, near_rows):
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in near_rows], DOCS)
+    want = brute_near(near_rows)
+    assert len(want) < len(near_rows) - 60
+    assert {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()} == want
+    assert corpus_pipeline.near_stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_near_stage_large_group(spark):
+    """A group whose members are near its first text, but mostly not near each other."""
+    rng = random.Random(8)
+    text = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(text))]
+    for i in range(1, 200):
+        copy = list(text)
+        for at in rng.sample(range(len(copy)), rng.randrange(1, 6)):
+            copy[at] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCS)
+    assert {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()} == brute_near(rows)
