@@ -14,8 +14,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose later copies of line runs; n_chars follows the text."""
-    kept = lines.deduplicated(docs)
+    """Texts lose later copies of line runs and of single long lines; n_chars follows the text."""
+    kept = lines.deduplicated(docs, long_words=lines.LONG_WORDS)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 

@@ -12,6 +12,9 @@ Ranks are names by digest: equal prefixes, equal names, which needs no global so
 meet by partial aggregation (count, least place), so that no interval is gathered. Copies of one text are
 one row before that, and a copy goes whole where it has min_lines lines.
 
+With `long_words`, a line of as many words is a run of its own: at depth 1 its later copies are deleted as well,
+and so are the long lines of a whole copy that has fewer than min_lines lines.
+
 Defined results: a null text stays null with 0 lines; empty text has none; a text loses the lines and the
 newlines that end them; rows that repeat a doc_id with one text are one document and are all treated as its
 first; an empty table gives an empty result; further columns are kept by `deduplicated`.
@@ -31,6 +34,8 @@ from quarrymill.llm.common import as_bytes, pieces, written
 
 #: A run has at least as many lines.
 MIN_LINES = 2
+#: Words of a line that the pipeline takes for a passage by itself.
+LONG_WORDS = 50
 
 
 def line_sequence(text: bytes) -> list[bytes]:
@@ -38,8 +43,12 @@ def line_sequence(text: bytes) -> list[bytes]:
     return [x for x in text.split(b"\n") if x.strip(b" \t\n\v\f\r")]
 
 
-def _suffixes(texts: DataFrame) -> DataFrame:
-    """(doc_id, i, name): a row per line; name is 128 bits of its digest."""
+def _is_long(line: bytes, long_words: int | None) -> bool:
+    return long_words is not None and len(line) >= 2 * long_words - 1 and len(line.split()) >= long_words
+
+
+def _suffixes(texts: DataFrame, long_words: int | None) -> DataFrame:
+    """(doc_id, i, name, long): a row per line; name is 128 bits of its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -50,9 +59,10 @@ def _suffixes(texts: DataFrame) -> DataFrame:
                 names = pa.array([digest(x) for doc in lines for x in doc], pa.binary())
                 ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), counts)
                 at = np.concatenate([np.arange(n, dtype=np.int32) for n in counts]) if counts else np.empty(0, np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, part.column("doc_id").type), pa.array(at), names], ["doc_id", "i", "name"])
+                long = pa.array([_is_long(x, long_words) for doc in lines for x in doc], pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, part.column("doc_id").type), pa.array(at), names, long], ["doc_id", "i", "name", "long"])
 
-    return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, i int, name binary")
+    return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, i int, name binary, long boolean")
 
 
 def _shared(suffixes: DataFrame) -> DataFrame:
@@ -61,10 +71,17 @@ def _shared(suffixes: DataFrame) -> DataFrame:
     return suffixes.join(many, F.col("name") == F.col("m_name"), "left_semi")
 
 
-def later_copies(texts: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(doc_id, i): starts of runs of min_lines lines that also start earlier. texts: doc_id, text, distinct by text."""
+def _later(ranked: DataFrame) -> DataFrame:
+    """(doc_id, i): the suffixes whose name also stands earlier."""
+    place = F.struct("doc_id", "i")
+    first = ranked.groupBy("name").agg(F.min(place).alias("first")).select(F.col("name").alias("f_name"), "first")
+    return ranked.join(first, F.col("name") == F.col("f_name")).where(place > F.col("first")).select("doc_id", "i")
+
+
+def later_copies(texts: DataFrame, min_lines: int = MIN_LINES, long_words: int | None = None) -> DataFrame:
+    """(doc_id, i, n): starts of runs of n lines that also start earlier, n min_lines or 1 for long lines. texts: doc_id, text, distinct by text."""
     # The doubling: names at depth k give those at depth min(2k, min_lines).
-    ranked = written(_shared(_suffixes(texts)), "lines-1")
+    single = ranked = written(_shared(_suffixes(texts, long_words)), "lines-1")
     depth = 1
     while depth < min_lines:
         step = min(depth, min_lines - depth)
@@ -73,15 +90,14 @@ def later_copies(texts: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         pairs = pairs.select("doc_id", "i", F.unhex(F.md5(F.concat("name", "a_name"))).alias("name"))
         depth += step
         ranked = written(_shared(pairs), f"lines-{depth}")
-    place = F.struct("doc_id", "i")
-    first = ranked.groupBy("name").agg(F.min(place).alias("first")).select(F.col("name").alias("f_name"), "first")
-    return ranked.join(first, F.col("name") == F.col("f_name")).where(place > F.col("first")).select("doc_id", "i")
+    runs = _later(ranked).withColumn("n", F.lit(min_lines))
+    return runs if long_words is None else runs.unionByName(_later(single.where("long")).withColumn("n", F.lit(1)))
 
 
-def removals(docs: DataFrame, min_lines: int = MIN_LINES, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, starts array<int>, whole): what a document loses; documents that lose nothing have no row.
+def removals(docs: DataFrame, min_lines: int = MIN_LINES, id_col="doc_id", text_col="text", long_words: int | None = None) -> DataFrame:
+    """(doc_id, starts array<int>, singles array<int>, whole): what a document loses; documents that lose nothing have no row.
 
-    starts are those of later copies of min_lines lines; whole marks a copy of an earlier text.
+    starts are those of later copies of min_lines lines, singles later copies of long lines; whole marks a copy of an earlier text.
     """
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL AND doc_id IS NOT NULL")
     # Copies: by the digest of the text, the least doc_id stays.
@@ -90,21 +106,23 @@ def removals(docs: DataFrame, min_lines: int = MIN_LINES, id_col="doc_id", text_
     copied = first.where("first < last").select(F.col("d").alias("c_d"), "first")
     copies = written(digests.join(copied, F.col("d") == F.col("c_d")).where("doc_id > first").select("doc_id").distinct(), "lines-copies")
     texts = keyed.join(copies.select(F.col("doc_id").alias("c_id")), F.col("doc_id") == F.col("c_id"), "left_anti")
-    starts = later_copies(texts, min_lines).groupBy("doc_id").agg(F.sort_array(F.collect_set("i")).alias("starts"))
+    at = lambda n: F.sort_array(F.collect_set(F.when(F.col("n") == n, F.col("i"))))
+    starts = later_copies(texts, min_lines, long_words).groupBy("doc_id").agg(at(min_lines).alias("starts"), at(1).alias("singles"))
     none = F.array().cast("array<int>")
-    return written(starts.select("doc_id", "starts", F.lit(False).alias("whole")).unionByName(copies.select("doc_id", none.alias("starts"), F.lit(True).alias("whole"))), "lines-removals")
+    return written(starts.select("doc_id", "starts", "singles", F.lit(False).alias("whole")).unionByName(copies.select("doc_id", none.alias("starts"), none.alias("singles"), F.lit(True).alias("whole"))), "lines-removals")
 
 
-def without_lines(text: bytes, starts: np.ndarray, whole: bool, min_lines: int) -> tuple[bytes, int, int]:
+def without_lines(text: bytes, starts: np.ndarray, singles: np.ndarray, whole: bool, min_lines: int, long_words: int | None = None) -> tuple[bytes, int, int]:
     """(kept text, lines that take part, removed ones)."""
     lines = text.split(b"\n")
     part = np.array([bool(x.strip(b" \t\n\v\f\r")) for x in lines])
     n = int(part.sum())
     gone = np.zeros(n, bool)
     if whole:
-        gone[:] = n >= min_lines
+        gone[:] = n >= min_lines or [_is_long(x, long_words) for x, p in zip(lines, part.tolist(), strict=True) if p]
     for d in range(min_lines):
         gone[starts + d] = True
+    gone[singles] = True
     if not gone.any():
         return text, n, 0
     keep = np.ones(len(lines), bool)
@@ -112,10 +130,9 @@ def without_lines(text: bytes, starts: np.ndarray, whole: bool, min_lines: int)
     return b"\n".join([x for x, k in zip(lines, keep.tolist(), strict=True) if k]), n, int(gone.sum())
 
 
-def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, id_col="doc_id", text_col="text", counts: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, id_col="doc_id", text_col="text", counts: bool = False, long_words: int | None = None) -> DataFrame:
     """docs with the later copies' lines deleted from the text; with counts also __n_lines, __n_removed."""
-    gone = removals(docs, min_lines, id_col, text_col).select(F.col("doc_id").alias("__l_id"), "starts", "whole")
-    gone = gone.withColumnRenamed("starts", "__starts").withColumnRenamed("whole", "__whole")
+    gone = removals(docs, min_lines, id_col, text_col, long_words).select(F.col("doc_id").alias("__l_id"), F.col("starts").alias("__starts"), F.col("singles").alias("__singles"), F.col("whole").alias("__whole"))
     joined = docs.join(gone, F.col(id_col) == F.col("__l_id"), "left").drop("__l_id")
     names = docs.columns
 
@@ -124,8 +141,8 @@ def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, id_col="doc_id", t
             for part in pieces(batch, text_col):
                 rows = []
                 nulls = part.column(text_col).is_null().to_pylist()
-                for t, s, w in zip(as_bytes(part, text_col), part.column("__starts").to_pylist(), part.column("__whole").to_pylist(), strict=True):
-                    rows.append(without_lines(t, np.array(s or [], np.int64), bool(w), min_lines))
+                for t, s, one, w in zip(as_bytes(part, text_col), *(part.column(f"__{c}").to_pylist() for c in ("starts", "singles", "whole")), strict=True):
+                    rows.append(without_lines(t, np.array(s or [], np.int64), np.array(one or [], np.int64), bool(w), min_lines, long_words))
                 kept = pa.array([None if z else r[0] for r, z in zip(rows, nulls, strict=True)], pa.binary()).cast(pa.string())
                 cols = [kept if c == text_col else part.column(c) for c in names]
                 extra = [pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2)] if counts else []

@@ -66,3 +66,37 @@ def test_near_stage_large_group(spark):
         rows.append((i, " ".join(copy)))
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCS)
     assert {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()} == brute_near(rows)
+
+
+def brute_lines(rows, long_words=50):
+    """Texts without later copies of runs of two lines, of long lines and of whole texts."""
+    seen, texts, out = set(), set(), {}
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        part = [k for k, x in enumerate(lines) if x.strip()]
+        long = [k for k in part if len(lines[k].split()) >= long_words]
+        gone = set()
+        if text in texts:
+            gone.update(part if len(part) > 1 else long)
+        else:
+            for k in long:
+                gone.update({k} if lines[k] in seen else ())
+                seen.add(lines[k])
+            for a, b in zip(part, part[1:], strict=False):
+                gone.update({a, b} if (lines[a], lines[b]) in seen else ())
+                seen.add((lines[a], lines[b]))
+        texts.add(text)
+        out[i] = None if text is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_line_stage(spark):
+    passage, other = " ".join(f"p{i}" for i in range(50)), " ".join(f"q{i}" for i in range(49))
+    rows = [
+        (1, f"a\n{passage}\nb"), (2, f"c\n\n{passage}\nd"), (3, f"e\n{other}\nf"), (4, f"g\n{other}\nh"), (5, passage), (6, passage),
+        (7, other), (8, other), (9, f"{passage}\nx\n{passage}\ny\nx"), (10, "c\nd\ne\na\nb\nx\ny"), (11, "x\ny\nx"), (12, "x\ny\nx"), (13, None), (14, ""), (15, "a"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], DOCS)
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, docs, "").collect()}
+    assert got == brute_lines(rows)
+    assert passage not in got[2] and other in got[4] and got[6] == "" and got[8] == other
