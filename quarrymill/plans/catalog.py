@@ -70,6 +70,14 @@ def _paper(spark, sf_dir) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", F.concat(*parts).alias("paper"))
 
 
+def _whole_paper(spark, sf_dir) -> DataFrame:
+    """The whole text over the headings: fifths of its length, the last one to the end."""
+    fifth = F.floor(F.length("text") / len(HEADS)).cast("int")
+    sizes = [fifth] * (len(HEADS) - 1) + [F.length("text")]
+    parts = [F.concat(F.lit(f"\n## {h.capitalize()}\n"), F.substring("text", 1 + fifth * i, n)) for i, (h, n) in enumerate(zip(HEADS, sizes, strict=True))]
+    return _t(spark, sf_dir, "documents").select("doc_id", F.concat(*parts).alias("paper"))
+
+
 _PAPER = "(SELECT doc_id, " + " || ".join(f"chr(10) || '## {h.capitalize()}' || chr(10) || substring(text, {1 + 400 * i}, 400)" for i, h in enumerate(HEADS)) + " AS paper FROM documents)"
 
 
@@ -84,7 +92,7 @@ for _name in T.SECTION_CHARS:
 
 
 def truncate_smart(spark, sf_dir):
-    papers = _paper(spark, sf_dir)
+    papers = _whole_paper(spark, sf_dir)
     papers = papers.withColumns({f"s_{k}": T.section(F.col("paper"), k) for k in T.SECTION_CHARS})
     text, method = T.truncated(F.col("paper"), 1500, "smart", {k: F.col(f"s_{k}") for k in T.SECTION_CHARS})
     return papers.select("doc_id", text.alias("text"), method.alias("method"))
