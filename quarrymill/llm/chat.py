@@ -3,8 +3,10 @@
 Prefix sums of the turns' tokens place every turn: the line of a conversation's tokens is cut every
 `stride` tokens; the turns that lie within one cell are a span, a turn that crosses a cut is a span of its own.
 Spans are so turn-aligned, at most `stride` tokens long or one turn, and known from a turn's own prefix sum. A
-window is a span, before it the turns that end within `history` tokens before it in the cell ahead, and
-the system turn that begins the conversation. What a window repeats is masked; of its own turns the
+window is a span, before it the system turn that begins the conversation, and between them the whole turns that lie
+within `history` tokens, less the system turn's, right before the span: contiguous, none if the last one is too long.
+A window has so at most stride + history tokens, or more by one turn of more than a stride or a system turn of more
+than the history. What a window repeats is masked; of its own turns the
 assistant's texts carry the loss, each once.
 
 Rows are sorted by (conv_id, turn) in ranges, which cut long conversations; a range's sums give the offsets
@@ -96,12 +98,21 @@ def windows(turns: DataFrame, stride: int = STRIDE, history: int = HISTORY) -> D
     cell = F.floor(F.col("start") / stride)
     crosses = F.col("stop") > (cell + 1) * stride
     span = cell * 2 + crosses.cast("long")
-    near = F.col("stop") > (cell + 1) * stride - history
-    # A turn near its cell's end also stands in the crossing turn's window and in the next cell's, as history.
-    late = F.when(near & ~crosses, F.array(cell * 2 + 1, cell * 2 + 2)).when(crosses & (F.col("stop") - F.col("start") <= history), F.array(cell * 2 + 2)).otherwise(F.array().cast("array<bigint>"))
-    placed = _placed(turns).withColumn("own", span).withColumn("at", F.explode(F.concat(F.array(span), late)))
+    placed = _placed(turns).withColumn("own", span)
+    opens = F.col("start") == 0
+    begun = placed.where(opens & (F.col("role") == "system")).select(F.col("conv_id").alias("b_conv"), F.col("stop").alias("taken"))
+    # A window's start is that of its first own turn; the system turn is repeated in all but its own.
+    begins = placed.groupBy("conv_id", "own").agg(F.min("start").alias("begin")).where("begin > 0")
+    begins = begins.join(begun, F.col("conv_id").eqNullSafe(F.col("b_conv")), "left")
+    begins = begins.select(F.col("conv_id").alias("w_conv"), F.col("own").alias("at"), "begin", (F.col("begin") - F.greatest(F.lit(0), history - F.coalesce("taken", F.lit(0)))).alias("since"))
+    # A turn can be history in its own cell's crossing window, and in the cells that start within `history` after it.
+    ahead = F.filter(F.sequence(cell + 1, cell + 1 + history // stride), lambda c: c * stride - history <= F.col("start"))
+    spans = F.concat(F.array(cell * 2 + 1), F.flatten(F.transform(ahead, lambda c: F.array(c * 2, c * 2 + 1))))
+    tried = placed.where(~(opens & (F.col("role") == "system"))).withColumn("to", F.explode(spans)).where("`to` <> own")
+    same = F.col("conv_id").eqNullSafe(F.col("w_conv")) & (F.col("to") == F.col("at"))
+    late = tried.join(begins, same & (F.col("start") >= F.col("since")) & (F.col("stop") <= F.col("begin"))).select(*placed.columns, "at")
+    placed = placed.withColumn("at", F.col("own")).unionByName(late)
     packed = placed.groupBy("conv_id", F.col("at").alias("span")).agg(F.sort_array(F.collect_list(F.struct("seq", (F.col("own") == F.col("at")).alias("mine"), (F.col("start") == 0).alias("opens"), "role", "text"))).alias("turns"))
-    packed = packed.where(F.exists("turns", lambda t: t["mine"]))
     opening = F.element_at("turns", 1)
     packed = written(packed, "chat-spans")
     systems = packed.where((F.col("span") < 2) & opening["opens"] & (opening["role"] == "system") & opening["mine"]).select(F.col("conv_id").alias("s_conv"), opening["text"].alias("system"))
