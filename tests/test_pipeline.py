@@ -5,6 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
+from quarrymill.llm import pieces, quality, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -100,3 +101,84 @@ def test_line_stage(spark):
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, docs, "").collect()}
     assert got == brute_lines(rows)
     assert passage not in got[2] and other in got[4] and got[6] == "" and got[8] == other
+
+
+def brute_targets(sizes, weights=(1, 2, 3), most=3):
+    """source -> target size: shares by weight, sources above their cap clamped and the rest shared anew."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % 3] for k, s in enumerate(order)}
+    target, free, left = {}, set(order), float(sum(sizes.values()))
+    while free:
+        share = left / sum(weight[s] for s in free)
+        over = {s for s in free if share * weight[s] > most * sizes[s]}
+        if not over:
+            return target | {s: share * weight[s] for s in free}
+        for s in over:
+            target[s] = float(most * sizes[s])
+            left -= target[s]
+        free -= over
+    return target
+
+
+def held_to_mix(taken, docs):
+    """taken: doc_id -> times; docs: doc_id -> (text, source). Each source is at its target but for less than a document."""
+    n = {i: len((t or "").split()) for i, (t, _) in docs.items()}
+    sizes = {}
+    for i, (_, source) in docs.items():
+        sizes[source] = sizes.get(source, 0) + n[i]
+    for source, target in brute_targets(sizes).items():
+        own = [i for i in docs if docs[i][1] == source]
+        rate = target / sizes[source] if sizes[source] else 0
+        assert all(int(rate - 1e-9) <= taken.get(i, 0) <= int(rate + 1e-9) + 1 for i in own)
+        assert abs(sum(taken.get(i, 0) * n[i] for i in own) - target) <= max(n[i] for i in own)
+
+
+@pytest.fixture(scope="module")
+def small(spark, near_rows, tmp_path_factory):
+    """Planted near copies, passages, nulls, a hot source and a null source, with labels of a third."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [*near_rows, *((1000 + i, f"head {i}\n{passage}\ntail {i} " + " ".join(f"z{i}x{k}" for k in range(30))) for i in range(20))]
+    rows = [(i, t, "en", [None, "b", "c", "d", "e"][i % 5] if i % 3 == 0 else "a", len(t or "")) for i, t in rows]
+    folder = str(tmp_path_factory.mktemp("small"))
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{folder}/documents.parquet")
+    labels = [(r[0], 1 if r[0] % 2 else 0, 0) for r in rows if r[0] % 3 == 1]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def counted(rows):
+    out = {}
+    for r in rows:
+        out[r["doc_id"]] = out.get(r["doc_id"], 0) + 1
+    return out
+
+
+def test_quality_stage(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    scored = quality.score(docs, quality.train(docs, spark.read.parquet(f"{small}/labels.parquet"))).collect()
+    drop = {r["doc_id"] for r in scored if r["keep"] is False}
+    got = corpus_pipeline.quality_stage(spark, docs, small).collect()
+    assert drop and sorted(map(repr, got)) == sorted(repr(r) for r in docs.collect() if r["doc_id"] not in drop)
+
+
+def test_mix_stage(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    held_to_mix(counted(corpus_pipeline.mix_stage(spark, docs, small).collect()), {r["doc_id"]: (r["text"], r["source"]) for r in docs.collect()})
+
+
+def test_run(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = sorted(corpus_pipeline.quality_stage(spark, docs, small).collect(), key=lambda r: r["doc_id"])
+    texts = brute_lines([(r["doc_id"], r["text"]) for r in kept])
+    stay = brute_near(list(texts.items()))
+    out = corpus_pipeline.run(spark, small)
+    held_to_mix(counted(out.select("doc_id").collect()), {r["doc_id"]: (texts[r["doc_id"]], r["source"]) for r in kept if r["doc_id"] in stay})
+    assert {r["doc_id"] for r in out.select("doc_id").collect()} <= stay
+    assert all(r["text"] == texts[r["doc_id"]] for r in pieces.decode(out.select("doc_id", "ids")).collect())
+    assert out.where("n_tokens <> size(ids)").count() == 0
+
+
+def test_simhash_deduplicated(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    want = {r["doc_id"] for r in simhash.near_duplicates(docs).collect() if r["doc_id"] == r["component_id"]}
+    assert {r["doc_id"] for r in simhash.deduplicated(docs).collect()} == want
