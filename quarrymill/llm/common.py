@@ -1,12 +1,16 @@
-"""What the operators share: words, scratch tables, bounded batches."""
+"""What the operators share: words, scratch tables, bounded batches, joins that no common key makes hot, ranks."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A word: a longest run of characters other than ASCII white space.
@@ -14,6 +18,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: bytes.split() cuts at the same six characters as WORD.
 SUB_BATCH_BYTES = 4 << 20
 _UNSET = "file:///tmp/checkpoints/quarrymill"
+#: A side of at most so many rows is broadcast; beyond it the other side's keys are salted SALTS ways.
+BROADCAST_ROWS = 50_000
+SALTS = 16
+_SCOPES: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,13 +29,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); one of our own only where it is unset."""
+    """The folder all executors share (spark.checkpoint.dir); a local one of our own only where it is unset and Spark runs in one process."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return (root or _UNSET).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is written for what runs inside is deleted at its end: a result must have been written elsewhere by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete(spark, path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -40,15 +69,90 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def dropped(table: DataFrame) -> None:
     """Delete the files of a table from `written` that nothing reads any more."""
-    spark = table.sparkSession
     for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def swept(spark: SparkSession) -> None:
-    """Have Spark's cleaner delete the shuffle files of plans that have run and that nothing refers to any more."""
-    spark._jvm.System.gc()
+        delete(table.sparkSession, file)
+
+
+def looked_up(rows: DataFrame, small: DataFrame, on: dict[str, str], spread: str, how: str = "inner") -> DataFrame:
+    """rows joined with small (from `written`, no name in common) on row column -> small column, null equal to null.
+
+    small is broadcast where its count allows; else rows are salted by `spread`, so that no key, however common, goes to one task.
+    """
+    same = reduce(lambda a, b: a & b, [F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`")) for a, b in on.items()])
+    if small.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(small), same, how)
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(F.col(f"`{spread}`")), F.lit(SALTS)).cast("int"))
+    copies = small.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, same & (F.col("__salt") == F.col("__copy")), how).drop("__salt", "__copy")
+
+
+def ranked(rows: DataFrame, keys: tuple[str, str], place: list[str], name: str) -> DataFrame:
+    """Rank of each row's keys (two longs) in their global order, and whether the keys stand at an earlier place.
+
+    Adds rank long and later boolean; rows whose keys stand at one place only are left out, as are repeated rows. A range sort
+    by keys and place cuts a common key over many tasks; a summary row of each task, joined back, links the ranges.
+    """
+    order = [*keys, *place]
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last row waits for the next batch, which tells whether its keys go on.
+        held, at, late = None, 0, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else one_batch([held, batch])
+            same = equal_neighbours(rows, place)
+            group = np.logical_and.reduce([equal_neighbours(rows, [k]) for k in keys])
+            # A repeated row is skipped: it is no place of its own.
+            keep = np.r_[True, ~(group & same)]
+            rows, group = rows.filter(pa.array(keep)), group[keep[1:]]
+            local = at + np.r_[0, np.cumsum(~group)]
+            later = np.r_[late, group]
+            shared = later.copy()
+            shared[:-1] |= group
+            n = rows.num_rows - 1
+            # The first group may go on from the range before.
+            out = np.flatnonzero(shared[:n] | (local[:n] == 0))
+            yield flagged(rows.take(pa.array(out)), local[out], later[out], shared[out])
+            held, at, late = rows.slice(n), int(local[n]), bool(later[n])
+        if held is not None:
+            yield flagged(held, np.array([at]), np.array([late]), np.array([late]))
+
+    def flagged(batch: pa.RecordBatch, local, later, shared) -> pa.RecordBatch:
+        cols = [*batch.columns, pa.array(local, pa.int64()), pa.array(later, pa.bool_()), pa.array(shared, pa.bool_())]
+        return pa.RecordBatch.from_arrays(cols, [*batch.schema.names, "local", "late", "shared"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranges.schema) + ", local bigint, late boolean, shared boolean"
+    marked = written(ranges.mapInArrow(run, schema), name)
+    key = F.struct(*keys)
+    # One row a task: the only window without keys is over these.
+    ends = marked.groupBy(F.col("part").alias("e_part")).agg(F.min(F.struct("local", key.alias("k"))).alias("first"), F.max(F.struct("local", key.alias("k"))).alias("last"))
+    by_part = W.partitionBy().orderBy("e_part")
+    ends = ends.withColumns({"goes_on": F.coalesce(F.lag("last.k").over(by_part) == F.col("first.k"), F.lit(False)), "follows": F.coalesce(F.lead("first.k").over(by_part) == F.col("last.k"), F.lit(False))})
+    groups = F.col("last.local") + 1 - F.col("goes_on").cast("long")
+    ends = ends.select("e_part", "goes_on", "follows", F.col("last.local").alias("top"), (F.sum(groups).over(by_part) - F.col("last.local") - 1).alias("base"))
+    joined = marked.join(F.broadcast(ends), F.col("part") == F.col("e_part"))
+    later = F.col("late") | (F.col("goes_on") & (F.col("local") == 0))
+    shared = F.col("shared") | later | (F.col("follows") & (F.col("local") == F.col("top")))
+    return joined.where(shared).select(*rows.columns, (F.col("base") + F.col("local")).alias("rank"), later.alias("later"))
+
+
+def one_batch(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def equal_neighbours(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    """For every row but the first, whether its columns are those of the row before; nulls are equal."""
+    out = np.ones(max(0, batch.num_rows - 1), bool)
+    for name in columns:
+        col = batch.column(name)
+        a, b = col.slice(0, len(col) - 1), col.slice(1)
+        same = pa.compute.fill_null(pa.compute.equal(a, b), False).to_numpy(zero_copy_only=False)
+        if col.null_count:
+            same = same | (a.is_null().to_numpy(zero_copy_only=False) & b.is_null().to_numpy(zero_copy_only=False))
+        out &= same
+    return out
 
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = SUB_BATCH_BYTES) -> Iterator[pa.RecordBatch]:

@@ -1,29 +1,30 @@
 """Substring dedup by recompression: repeated windows of words are removed, but for their first place.
 
-A round of recompression names pairs of neighbouring tokens: by a bit of its name a token is left or right,
-and a left one joins a right one that follows it; tokens in a run of equal ones stay out. Names are digests of
-what they stand for, so that equal content has equal names in every task without a table of names. Whether
-two words join depends on their next neighbours only. So in a window of WINDOW words without a run inside,
-the symbols from the third word to the eighteenth are the same at every place where it stands. The
-next names stand for CHAIN symbols in a row: the first chain from the third word on is such an interior symbol of the
-window. A window can only repeat if that symbol is shared (stands twice), or if it holds a run.
-
-Spark counts the symbols, joins the shared ones back, and verifies the windows that they reveal by a 128-bit
-digest of the words themselves: of each digest the first place stays. Copies of a text are one row before that,
-and a batch sends only the first place of each digest to the shuffle, so that a very common passage is a row a
-batch; its other places are known to be later copies.
-
-Only one round joins words: in a window of 20 words a second would leave no interior symbol that is sure to be
-the same at all places. The following names are chains, not pairs.
-
-Defined results: null and empty texts have no words and keep the empty text; texts under WINDOW words lose
-nothing; rows that repeat a doc_id with one text are one document; empty table, empty result; further columns
-are ignored.
+A text is a sequence of tokens, its words. A round of recompression names runs (a token and how often it stands in
+a row) and then pairs: by a bit of its name a token is left or right, and a left one joins a right one that follows.
+Names are digests of what they stand for: global, so that equal content has equal names in every task without a
+table of names. Two rounds are made. What a token becomes depends on its next neighbours only, so that of a window
+of WINDOW words the symbols of the second round are the same at every place where it stands, but for those within
+a token of its ends at each step (the ends may cut a run or a pair). Those are its interior symbols.
+
+The least chain of CHAIN interior symbols is the window's anchor; neighbouring windows share it. A row for each anchor
+place goes to Spark: the anchor's name, the digest of all words of the windows that share the place, the place. A
+range sort ranks them. Rows of one name and digest are one class: all but the first are later copies, with all their
+windows. Classes of one anchor may still share some windows (at the ends of a long repeat): the first row of each
+such class is revealed, its windows are named by a 128-bit digest of their words, and ranked in the same way. A window
+without enough interior symbols (a few words that repeat) is an anchor of its own.
+
+A batch sends the first place of each class only, so that a very common passage is a row a batch; its other places
+are known to be later copies. A range sort cuts what is left of it over tasks.
+
+Defined results: null and empty texts have no words and keep the empty text; texts under WINDOW words lose nothing;
+rows that repeat a doc_id and text are one document, of two texts under one doc_id the one with the smaller hash is
+first; rows without doc_id lose nothing and are no earlier place; long texts are read in slices that overlap by a
+window; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,12 +34,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, dropped, pieces, swept, written
+from quarrymill.llm.common import as_bytes, dropped, equal_neighbours, one_batch, pieces, ranked, written
 
 WINDOW = 20
-CHAIN = 4
-_EDGE = 2
+CHAIN = 2
+#: Bytes of text that are compressed at once.
+SLICE = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint64(0x100000001B3)
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+_PLACE = ["doc_id", "v", "at"]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -46,204 +52,321 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_names(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter(map(digest, words), np.uint64, len(words))
+@dataclass
+class Words:
+    """The words of some texts joined by one space, where each starts and ends, and the number of its text."""
 
+    blob: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    text: np.ndarray
 
-def compressed(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One round: (places where symbols start, their names)."""
-    n = len(names)
-    same = names[:-1] == names[1:]
-    in_run = np.zeros(n, bool)
-    in_run[:-1] |= same
-    in_run[1:] |= same
-    left = (_mixed(names) & np.uint64(1)).astype(bool)
-    joins = np.zeros(n, bool)
-    joins[:-1] = left[:-1] & ~left[1:] & ~in_run[:-1] & ~in_run[1:]
-    starts = np.flatnonzero(~np.r_[False, joins[:-1]])
-    after = names[np.minimum(starts + 1, n - 1)]
-    return starts, np.where(joins[starts], _mixed(names[starts] * np.uint64(3) + _mixed(after)), names[starts])
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Words:
+        raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+        space = _SPACE[raw]
+        keep = ~space
+        keep[1:] |= ~space[:-1]  # the first space after a word
+        at = np.flatnonzero(keep)
+        blob = np.where(space, np.uint8(32), raw)[at]
+        ends = np.flatnonzero(blob == 32)
+        starts = np.r_[0, ends[:-1] + 1][: len(ends)]
+        edges = np.cumsum([len(t) + 1 for t in texts])
+        return cls(blob, starts, ends, np.searchsorted(edges, at[starts], "right"))
 
+    def names(self) -> np.ndarray:
+        """A name of each word, from prefix sums of a polynomial of its bytes."""
+        power, inverse = _powers(len(self.blob))
+        sums = np.r_[np.uint64(0), np.cumsum((self.blob.astype(np.uint64) + np.uint64(1)) * power[: len(self.blob)])]
+        return _mixed((sums[self.ends] - sums[self.starts]) * inverse[self.starts])
 
-def window_symbols(names: np.ndarray, window: int = WINDOW, chain: int = CHAIN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(interior symbol, stands at another place than the last window's, holds a run) of every window."""
-    n = len(names) - window + 1
-    if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, bool)
-    starts, symbols = compressed(names)
-    m = max(0, len(symbols) - chain + 1)
-    chains = np.zeros(m, np.uint64)
-    for j in range(chain):
-        chains = _mixed(chains + symbols[j : j + m] + np.uint64(j + 1))
-    # Chains by the word that they start at; a chain is at most two words a symbol long.
-    top = np.uint64(0xFFFFFFFFFFFFFFFF)
-    by_word = np.full(len(names), top)
-    by_word[starts[:m]] = chains
-    # The least chain that starts in the interior: minima of 1, 2, 4, ... places, then two that overlap.
-    span = window - 2 * _EDGE - 2 * chain + 1
-    least, reach = by_word[_EDGE : _EDGE + n + span - 1], 1
-    while reach < span:
-        step = min(reach, span - reach)
-        least, reach = np.minimum(least[:-step], least[step:]), reach + step
-    # A window's leftmost least chain is not the last window's if it is another one or that one lies before it.
-    fresh = np.r_[True, (least[1:] != least[:-1]) | (by_word[_EDGE : _EDGE + n - 1] == least[:-1])]
-    runs = np.r_[0, np.cumsum(names[:-1] == names[1:])]
-    held = runs[window - 1 :][:n] > runs[:n]
-    return least, fresh, held
 
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-@dataclass
-class BatchWords:
-    #: The words of all texts one after another, where each text's start, and the windows' first words.
-    all: list[bytes]
-    starts: np.ndarray
-    windows: np.ndarray
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for k, x in enumerate((int(_BASE), pow(int(_BASE), -1, 1 << 64))):
+            _POWERS[k] = np.multiply.accumulate(np.r_[np.uint64(1), np.full(n + n // 4, x, np.uint64)])
+    return _POWERS
+
+
+def run_names(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, names) of the maximal runs of equal tokens."""
+    starts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]][: len(names)])
+    times = np.diff(np.r_[starts, len(names)]).astype(np.uint64)
+    own = names[starts]
+    return starts, np.where(times > 1, _mixed(own * np.uint64(5) + times), own)
 
 
-def batch_symbols(texts: list[bytes], window: int, chain: int) -> tuple[BatchWords, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every window inside one text: its interior symbol, whether the symbol's place is new in its text, its text's number, whether it holds a run.
+def pair_names(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, names) of left tokens joined with a right one that follows, and of single ones."""
+    left = (_mixed(names) & np.uint64(1)).astype(bool)
+    joins = np.r_[left[:-1] & ~left[1:], False][: len(names)]
+    starts = np.flatnonzero(~np.r_[False, joins[:-1]][: len(names)])
+    after = names[np.minimum(starts + 1, len(names) - 1)]
+    return starts, np.where(joins[starts], _mixed(names[starts] * np.uint64(3) + _mixed(after)), names[starts])
 
-    The texts go through a round as one sequence: what stands before or after a window does not change its interior.
-    """
-    split = [t.split() for t in texts]
-    words = list(itertools.chain.from_iterable(split))
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    starts = np.cumsum(sizes) - sizes
-    found, fresh, held = window_symbols(word_names(words), window, chain)
-    doc = np.repeat(np.arange(len(split)), sizes)[: len(found)]
-    own = np.flatnonzero(np.arange(len(found)) + window <= (starts + sizes)[doc])
-    fresh[starts[starts < len(fresh)]] = True
-    return BatchWords(words, starts, own), found[own], fresh[own], doc[own], held[own]
 
+def _before(starts: np.ndarray, n: int) -> np.ndarray:
+    """For 0 to n + 1, how many symbols start before that token."""
+    is_start = np.zeros(n + 2, np.int64)
+    is_start[starts + 1] = 1
+    return np.cumsum(is_start)
 
-def _check(window: int, chain: int) -> None:
-    if window < 2 * chain + 2 * _EDGE + 1:
-        raise ValueError("the chain does not fit in the window's interior")
+
+def anchors(names: np.ndarray, window: int = WINDOW, chain: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
+    """Of every window: the place of its anchor among the second round's chains (-1: it has none), and the names of the chains."""
+    n = len(names) - window + 1
+    if n <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    s0, r1 = run_names(names)
+    s1, p1 = pair_names(r1)
+    s2, r2 = run_names(p1)
+    s3, p2 = pair_names(r2)
+    # The first and last interior symbol of each window, step by step: a symbol is interior if it and its neighbours are inside.
+    run_of = np.repeat(np.arange(len(s0)), np.diff(np.r_[s0, len(names)]))
+    lo, hi = run_of[:n] + 1, run_of[window - 1 :] - 1
+    for starts, tokens in ((s1, len(r1)), (s2, len(p1)), (s3, len(r2))):
+        before = _before(starts, tokens)
+        lo, hi = before[np.minimum(lo + 1, tokens)], before[np.maximum(hi + 1, 0)] - 2
+    m = max(0, len(p2) - chain + 1)
+    chains = np.zeros(m, np.uint64)
+    for j in range(chain):
+        chains = _mixed(chains + p2[j : j + m] + np.uint64(j + 1))
+    count = hi - lo - chain + 2  # chains inside
+    place = np.full(n, -1, np.int64)
+    have = np.flatnonzero(count > 0)
+    if len(have):
+        # The least of a range of chains by the minima of 1, 2, 4, ... of them; a key's low bits are its place, so that the first of equals wins.
+        low = np.uint64((1 << max(1, int(m).bit_length())) - 1)
+        least = [(chains & ~low) | np.arange(m, dtype=np.uint64)]
+        for k in range(int(count.max()).bit_length() - 1):
+            prev, step = least[-1], 1 << k
+            nxt = prev.copy()
+            nxt[:-step] = np.minimum(prev[:-step], prev[step:])
+            least.append(nxt)
+        level = np.frexp(count[have].astype(float))[1] - 1
+        table = np.stack(least)
+        first, last = lo[have], lo[have] + count[have] - (1 << level)
+        place[have] = (np.minimum(table[level, first], table[level, last]) & low).astype(np.int64)
+    return place, chains
+
+
+def anchor_rows(words: Words, base: np.ndarray, window: int, chain: int) -> tuple[np.ndarray, ...]:
+    """(anchor name, digest of the words, text, first window, windows) for each anchor place. base: the words before each text's slice."""
+    place, chains = anchors(words.names(), window, chain)
+    inside = np.flatnonzero(words.text[: len(place)] == words.text[window - 1 :][: len(place)])
+    if not len(inside):
+        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64))
+    own = place[inside]
+    head = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (own[1:] < 0) | (inside[1:] != inside[:-1] + 1)])
+    count = np.diff(np.r_[head, len(inside)])
+    first = inside[head]
+    digest, blob = xxhash.xxh3_128_digest, memoryview(words.blob)
+    spans = zip(words.starts[first].tolist(), words.ends[first + count + window - 2].tolist(), strict=True)
+    sums = np.frombuffer(b"".join([digest(blob[a:b]) for a, b in spans]), np.int64).reshape(-1, 2)
+    anchor = own[head]
+    name = np.where(anchor >= 0, chains[np.maximum(anchor, 0)].view(np.int64) if len(chains) else 0, sums[:, 0])
+    text = words.text[first]
+    starts = np.searchsorted(words.text, np.arange(len(base)))
+    return name, sums[:, 1].copy(), text, first - starts[text] + base[text], count
+
+
+def _slices(texts: list[bytes], window: int) -> Iterator[tuple[list[int], list[bytes], list[int]]]:
+    """(numbers of the texts, texts or slices, words before each) of about SLICE bytes; slices of a text overlap by window - 1 words."""
+    numbers, parts, bases, size = [], [], [], 0
+    for k, text in enumerate(texts):
+        base, at = 0, 0
+        while True:
+            end, part, tail = len(text), text[at:], []
+            if end - at > 2 * SLICE:
+                end = at
+                while end < len(text) and len(tail) < window:
+                    end = min(len(text), end + SLICE)
+                    while end < len(text) and not _SPACE[text[end]]:
+                        end += 1
+                    part = text[at:end]
+                    tail = part.rsplit(None, window - 1)
+            if size and size + len(part) > SLICE:
+                yield numbers, parts, bases
+                numbers, parts, bases, size = [], [], [], 0
+            numbers.append(k)
+            parts.append(part)
+            bases.append(base)
+            size += len(part)
+            if end >= len(text):
+                break
+            base += len(tail[0].split())
+            at += len(tail[0])
+    if parts:
+        yield numbers, parts, bases
+
+
+def _first_places(name, full, text, at, count, rank) -> tuple[np.ndarray, np.ndarray]:
+    """Map-side combine: (rows that are the first of their class, later ones). rank: of each row's document."""
+    order = np.lexsort((at, rank, full, name))
+    new = np.r_[True, (name[order][1:] != name[order][:-1]) | (full[order][1:] != full[order][:-1])][: len(order)]
+    head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    late = (rank[order] != rank[head]) | (at[order] != at[head])
+    return order[new], order[late]
+
+
+def _ranks(part: pa.RecordBatch) -> np.ndarray:
+    """The order of a batch's documents by doc_id, then hash."""
+    keys = pa.table({"a": part.column("doc_id"), "b": part.column("v")})
+    order = pa.compute.sort_indices(keys, [("a", "ascending"), ("b", "ascending")]).to_numpy()
+    sorted_ = one_batch([pa.RecordBatch.from_arrays([c.combine_chunks() for c in keys.take(pa.array(order)).columns], ["a", "b"])])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.r_[0, np.cumsum(~equal_neighbours(sorted_, ["a", "b"]))][: len(order)]
+    return out
+
+
+def _batch(part: pa.RecordBatch, kind, a, b, text, at, n) -> pa.RecordBatch:
+    of = pa.array(text)
+    cols = [pa.array(kind), pa.array(a), pa.array(b), part.column("doc_id").take(of), part.column("v").take(of), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))]
+    return pa.RecordBatch.from_arrays(cols, ["kind", "a", "b", *_PLACE, "n"])
+
+
+#: Kinds of rows: n windows from a place on to compare, known later copies.
+_OPEN, _LATER = 0, 1
+
+
+def _compared(part: pa.RecordBatch, rank: np.ndarray, found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    """The first row of each class, and the others as later copies."""
+    name, full, text, at, count = found
+    first, late = _first_places(name, full, text, at, count, rank[text])
+    rows = np.r_[first, late]
+    kind = np.r_[np.full(len(first), _OPEN, np.int8), np.full(len(late), _LATER, np.int8)]
+    return _batch(part, kind, name[rows], full[rows], text[rows], at[rows], count[rows])
 
 
 def repeats(texts: DataFrame, window: int = WINDOW, chain: int = CHAIN) -> DataFrame:
-    """(doc_id, pos, n): n windows from pos on that start earlier too. texts: doc_id, text, distinct by text."""
-    _check(window, chain)
+    """(doc_id, v, at, n): n windows from word `at` on that start earlier too. texts: doc_id, v (the text's hash), text."""
     key = texts.schema["doc_id"].dataType.simpleString()
+    schema = f"kind tinyint, a bigint, b bigint, doc_id {key}, v int, at int, n int"
 
-    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
-                _, found, fresh, doc, _ = batch_symbols(as_bytes(part, "text"), window, chain)
-                # Neighbouring windows share a symbol: it counts once for each place.
-                found, doc = found[fresh], doc[fresh]
-                order = np.lexsort((found, doc))
-                found, doc = found[order], doc[order]
-                first = np.flatnonzero(np.r_[True, (found[1:] != found[:-1]) | (doc[1:] != doc[:-1])][: len(found)])
-                n = np.diff(np.r_[first, len(found)])
-                yield pa.RecordBatch.from_arrays([pa.array(found[first].view(np.int64)), pa.array(n.astype(np.int32)), part.column("doc_id").take(pa.array(doc[first]))], ["symbol", "n", "doc_id"])
-
-    named = texts.mapInArrow(symbols, f"symbol bigint, n int, doc_id {key}")
-    named = written(named, "recompression-symbols")
-    swept(texts.sparkSession)
-    shared = named.groupBy("symbol").agg(F.sum("n").alias("all")).where("all > 1").select(F.col("symbol").alias("s_symbol"))
-    back = named.join(shared, F.col("symbol") == F.col("s_symbol"), "left_semi").groupBy("doc_id").agg(F.collect_list("symbol").alias("shared")).withColumnRenamed("doc_id", "s_id")
-    back = written(back, "recompression-shared")
-    dropped(named)
-    swept(texts.sparkSession)
-    joined = texts.join(back, F.col("doc_id") == F.col("s_id"), "left").select("doc_id", "text", "shared")
+            for part in pieces(batch, "text", SLICE):
+                rank, found = _ranks(part), []
+                for numbers, own, bases in _slices(as_bytes(part, "text"), window):
+                    name, full, text, at, count = anchor_rows(Words.of(own), np.array(bases), window, chain)
+                    found.append((name, full, np.array(numbers)[text], at, count))
+                yield _compared(part, rank, tuple(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From sorted rows the later ones of each class, and as open ones the first of each class that shares its anchor.
+
+        A range's first row, and its last anchor's first one, may share it with another range: they stay open.
+        """
+        last, held = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if last is None else one_batch([last, batch])
+            anchor = np.r_[True, ~equal_neighbours(rows, ["a"])]
+            new = anchor | np.r_[True, ~equal_neighbours(rows, ["b"])]
+            head = np.flatnonzero(new)[np.cumsum(new) - 1]
+            start = 0 if last is None else 1
+            own = np.arange(rows.num_rows) >= start
+            at = pa.array(head)
+            place = np.logical_and.reduce([pa.compute.equal(rows.column(c), rows.column(c).take(at)).to_numpy(zero_copy_only=False) for c in _PLACE])
+            if last is not None:
+                # The class that goes on from the batch before: its first place is not here.
+                going = head == 0
+                place[going] = np.r_[True, np.logical_and.reduce([equal_neighbours(rows, [c]) for c in _PLACE])][going]
+            late = own & ~new & ~place
+            # The first of a class is open if its anchor's rows before or after it are of another class.
+            firsts = np.flatnonzero(new & own)
+            alone = anchor[firsts]  # the first class of its anchor: open only if a second class follows
+            followed = np.r_[~anchor[firsts[1:]], False][: len(firsts)]
+            opened = firsts[~alone | followed]
+            if last is None:
+                opened = np.union1d(opened, firsts[:1])
+            if held is not None and len(firsts) and not anchor[firsts[0]]:
+                yield flagged(held, _OPEN)
+            if len(firsts):
+                f = int(firsts[-1])
+                held = rows.slice(f, 1) if alone[-1] and f not in opened[-1:] else None
+            yield flagged(rows.take(pa.array(np.flatnonzero(late))), _LATER)
+            yield flagged(rows.take(pa.array(opened)), _OPEN)
+            last = rows.slice(rows.num_rows - 1)
+        if held is not None:
+            yield flagged(held, _OPEN)
+
+    def flagged(rows: pa.RecordBatch, kind: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, kind, np.int8)), *(rows.column(c) for c in (*_PLACE, "n"))], ["kind", *_PLACE, "n"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            for part in pieces(batch, "text"):
-                words, found, _, doc, held = batch_symbols(as_bytes(part, "text"), window, chain)
-                mine = part.column("shared")
-                counts = pa.compute.fill_null(pa.compute.list_value_length(mine), 0).to_numpy(zero_copy_only=False)
-                known = mine.flatten().to_numpy().view(np.uint64)
-                # Symbols by document, under one name; a collision only brings a window more to verify.
-                known = _mixed(known + _mixed(np.repeat(np.arange(len(counts)), counts).astype(np.uint64)))
-                at = np.flatnonzero(held | np.isin(_mixed(found + _mixed(doc.astype(np.uint64))), known))
-                if not len(at):
-                    continue
-                blob = memoryview(b" ".join(words.all))
-                ends = np.cumsum(np.fromiter(map(len, words.all), np.int64, len(words.all)) + 1)
-                pos, doc = words.windows[at], doc[at]
-                lo = np.where(pos > 0, ends[pos - 1], 0)
-                sums = np.frombuffer(b"".join([digest(blob[a:b]) for a, b in zip(lo.tolist(), (ends[pos + window - 1] - 1).tolist(), strict=True)]), np.uint64).reshape(-1, 2)
-                yield _combined(part.column("doc_id"), sums, doc, pos - words.starts[doc])
-
-    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each digest all places but the least, from sorted rows; a digest's rows may span batches."""
-        first = None
-        for batch in batches:
-            n = batch.column("n").to_numpy()
-            yield batch.take(pa.array(np.flatnonzero(n > 0))).select(["doc_id", "pos", "n"])
-            rows = batch.take(pa.array(np.flatnonzero(n == 0)))
-            if not rows.num_rows:
-                continue
-            if first is not None:
-                rows = pa.Table.from_batches([first, rows]).combine_chunks().to_batches()[0]
-            a, b, pos = (rows.column(c).to_numpy() for c in ("a", "b", "pos"))
-            head = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            of = np.repeat(head, np.diff(np.r_[head, len(a)]))
-            ids = rows.column("doc_id")
-            same = pa.compute.equal(ids, ids.take(pa.array(of))).to_numpy(zero_copy_only=False) & (pos == pos[of])
-            out = np.flatnonzero(~same)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(out)), pa.array(pos[out]), pa.array(np.ones(len(out), np.int32))], ["doc_id", "pos", "n"])
-            first = rows.take(pa.array(head[-1:]))
-
-    found = joined.mapInArrow(windows, f"a bigint, b bigint, doc_id {key}, pos int, n int")
-    return found.repartition("a").sortWithinPartitions("a", "b", "doc_id", "pos").mapInArrow(later, f"doc_id {key}, pos int, n int")
-
-
-def _combined(ids: pa.Array, sums: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """Map-side combine: (a, b, doc_id, pos, n) with the least place of each digest (a, b) in the batch, n = 0.
-
-    All other places are later copies already: they follow as runs of n places, under a name that spreads them.
-    """
-    rank = pa.compute.rank(ids, tiebreaker="dense").to_numpy().astype(np.int64)[doc]
-    order = np.lexsort((pos, rank, sums[:, 1], sums[:, 0]))
-    sums, rank, doc, pos = sums[order], rank[order], doc[order], pos[order]
-    first = np.flatnonzero(np.r_[True, (sums[1:] != sums[:-1]).any(axis=1)])
-    of = np.repeat(first, np.diff(np.r_[first, len(pos)]))
-    out = np.flatnonzero((rank != rank[of]) | (pos != pos[of]))
-    out = out[np.lexsort((pos[out], doc[out]))]
-    d, p = doc[out], pos[out]
-    run = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)][: len(p)])
-    n = np.r_[np.zeros(len(first), np.int32), np.diff(np.r_[run, len(p)]).astype(np.int32)]
-    doc, pos = np.r_[doc[first], d[run]], np.r_[pos[first], p[run]]
-    a = np.r_[sums[first, 0], _mixed(_mixed(d[run].astype(np.uint64)) + p[run].astype(np.uint64))]
-    b = np.r_[sums[first, 1], np.zeros(len(run), np.uint64)]
-    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), ids.take(pa.array(doc)), pa.array(pos.astype(np.int32)), pa.array(n)], ["a", "b", "doc_id", "pos", "n"])
+            for part in pieces(batch, "text", SLICE):
+                rank, found = _ranks(part), []
+                wanted = [x.values.to_numpy() for x in part.column("open")]
+                for numbers, own, bases in _slices(as_bytes(part, "text"), window):
+                    words = Words.of(own)
+                    starts = np.searchsorted(words.text, np.arange(len(own) + 1))
+                    blob = memoryview(words.blob)
+                    for k, (number, base) in enumerate(zip(numbers, bases, strict=True)):
+                        code = wanted[number]
+                        at = np.repeat(code >> 32, code & 0xFFFFFFFF) + _counts(code & 0xFFFFFFFF) - base
+                        at = at[(at >= 0) & (at + window <= starts[k + 1] - starts[k])]
+                        lo, hi = words.starts[starts[k] + at].tolist(), words.ends[starts[k] + at + window - 1].tolist()
+                        sums = np.frombuffer(b"".join([digest(blob[a:b]) for a, b in zip(lo, hi, strict=True)]), np.int64).reshape(-1, 2)
+                        found.append((sums[:, 0], sums[:, 1], np.full(len(at), number), at + base, np.ones(len(at), np.int64)))
+                yield _compared(part, rank, tuple(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    first = written(texts.mapInArrow(named, schema), "recompression-anchors")
+    order = ["a", "b", *_PLACE]
+    sorted_ = first.where(f"kind = {_OPEN}").drop("kind").repartitionByRange(*order).sortWithinPartitions(*order)
+    second = written(sorted_.mapInArrow(classes, f"kind tinyint, doc_id {key}, v int, at int, n int"), "recompression-classes")
+    known = written(first.where(f"kind = {_LATER}").select(*_PLACE, "n"), "recompression-known")
+    dropped(first)
+    code = F.col("at").cast("long") * F.lit(1 << 32) + F.col("n")
+    revealed = second.where(f"kind = {_OPEN}").groupBy("doc_id", "v").agg(F.collect_list(code).alias("open")).select(F.col("doc_id").alias("o_id"), F.col("v").alias("o_v"), "open")
+    met = texts.join(revealed, (F.col("doc_id") == F.col("o_id")) & (F.col("v") == F.col("o_v"))).drop("o_id", "o_v")
+    third = written(met.mapInArrow(windows, schema), "recompression-windows")
+    same = ranked(third.where(f"kind = {_OPEN}").select("a", "b", *_PLACE), ("a", "b"), _PLACE, "recompression-ranks")
+    late = [known, *(t.where(f"kind = {_LATER}").select(*_PLACE, "n") for t in (second, third)), same.where("later").select(*_PLACE, F.lit(1).alias("n"))]
+    return late[0].unionByName(late[1]).unionByName(late[2]).unionByName(late[3])
+
+
+def _counts(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... anew for every size."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+
+
+def without_words(text: bytes, runs: np.ndarray, window: int) -> tuple[bytes, int, int]:
+    """(kept words joined by one space, words, removed words). runs: first window * 2^32 + windows."""
+    words = Words.of([text])
+    n = len(words.starts)
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, runs >> 32, 1)
+    np.add.at(change, (runs >> 32) + (runs & 0xFFFFFFFF) + window - 1, -1)
+    out = np.cumsum(change[:-1]) > 0
+    kept = words.blob[np.repeat(~out, words.ends - words.starts + 1)]
+    return kept[:-1].tobytes(), n, int(out.sum())
 
 
 def deduplicated(docs: DataFrame, id_col="doc_id", text_col="text", window: int = WINDOW, chain: int = CHAIN) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words joined by one space): one row per row of docs."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    digests = texts.select("doc_id", F.unhex(F.md5("text")).alias("d"))
-    first = digests.groupBy("d").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select(F.col("d").alias("c_d"), "first")
-    copies = written(digests.join(first, F.col("d") == F.col("c_d")).where("doc_id > first").select(F.col("doc_id").alias("c_id")).distinct(), "recompression-copies")
-    own = texts.join(copies, F.col("doc_id") == F.col("c_id"), "left_anti")
-    gone = repeats(own, window, chain).groupBy("doc_id").agg(F.collect_list(F.col("pos") * F.lit(1 << 32) + F.col("n")).alias("runs")).select(F.col("doc_id").alias("g_id"), "runs", F.lit(False).alias("whole"))
-    gone = gone.unionByName(copies.select(F.col("c_id").alias("g_id"), F.array().cast("array<bigint>").alias("runs"), F.lit(True).alias("whole")))
-    gone = written(gone, "recompression-gone")
-    swept(docs.sparkSession)
-    joined = texts.join(gone, F.col("doc_id") == F.col("g_id"), "left").select("doc_id", "text", "runs", "whole")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.hash(text).alias("v"), text.alias("text"))
+    code = F.col("at").cast("long") * F.lit(1 << 32) + F.col("n")
+    gone = repeats(texts.where("doc_id IS NOT NULL"), window, chain).groupBy("doc_id", "v").agg(F.collect_list(code).alias("runs"))
+    gone = gone.select(F.col("doc_id").alias("g_id"), F.col("v").alias("g_v"), "runs")
+    joined = texts.join(gone, (F.col("doc_id") == F.col("g_id")) & (F.col("v") == F.col("g_v")), "left").select("doc_id", "text", "runs")
     key = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.empty(0, np.int64)
         for batch in batches:
             for part in pieces(batch, "text"):
-                rows = []
-                for text, runs, whole in zip(as_bytes(part, "text"), part.column("runs"), part.column("whole").to_pylist(), strict=True):
-                    words = text.split()
-                    change = np.zeros(len(words) + 1, np.int64)
-                    if runs.values is not None:
-                        code = runs.values.to_numpy()
-                        np.add.at(change, code >> 32, 1)
-                        np.add.at(change, (code >> 32) + (code & 0xFFFFFFFF) + window - 1, -1)
-                    out = np.cumsum(change[:-1]) > 0
-                    if whole and len(words) >= window:
-                        out[:] = True
-                    rows.append((len(words), int(out.sum()), b" ".join([w for w, x in zip(words, out.tolist(), strict=True) if not x])))
-                kept = pa.array([r[2] for r in rows], pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), kept], ["doc_id", "n_words", "n_removed", "kept"])
+                runs = [none if r.values is None else r.values.to_numpy() for r in part.column("runs")]
+                rows = [without_words(t, r, window) for t, r in zip(as_bytes(part, "text"), runs, strict=True)]
+                kept = pa.array([r[0] for r in rows], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2)), kept], ["doc_id", "n_words", "n_removed", "kept"])
 
     return joined.mapInArrow(run, f"doc_id {key}, n_words bigint, n_removed bigint, kept string")
