@@ -18,7 +18,8 @@ SECTION_NAMES = {
     "conclusion": r"conclusion|summary|discussion|future\s+work|closing",
 }
 SECTION_CHARS = {"abstract": 2000, "introduction": 4000, "methods": 3000, "results": 3000, "conclusion": 2000}
-#: Header forms in the order they are tried; the body is the last group; the terminator is consumed.
+#: Header forms in the order they are tried; the body is the last group. The terminator is consumed where a look-ahead
+#: would do, as SQL engines with RE2 have none; with one search the group is the same.
 SECTION_FORMS = (
     r"(?is)(?:^|\n)#+\s*(?:\d+\.?\s*)?(?:{names})\s*\n(.*?)(?:\n#+|\n\d+\.?\s+[A-Z]|\z)",
     r"(?is)(?:^|\n)(?:\d+\.?\s+)(?:{names})\s*\n(.*?)(?:\n\d+\.?\s+[A-Z]|\n#+|\z)",
@@ -40,12 +41,12 @@ def section_patterns(section: str) -> tuple[str, ...]:
 
 
 def section(text: Column, name: str) -> Column:
-    """A section's text: the first header form that occurs decides, even with an empty body."""
-    out = F.lit("")
-    for pattern in reversed(section_patterns(name)):
-        body = F.regexp_extract(text, pattern, 1)
-        out = F.when(F.regexp_like(text, F.lit(pattern)), F.regexp_replace(body, r"\A\s+|\s+\z", "")).otherwise(out)
-    return F.substring(out, 1, SECTION_CHARS[name])
+    """A section's text: the first header form that occurs decides, even with an empty body.
+
+    A form is tried once: an empty list is no match, an empty text an empty body.
+    """
+    found = F.coalesce(*[F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0)) for pattern in section_patterns(name)], F.lit(""))
+    return F.substring(F.regexp_replace(found, r"\A\s+|\s+\z", ""), 1, SECTION_CHARS[name])
 
 
 def estimate_tokens(text: Column) -> Column:
@@ -93,14 +94,19 @@ def mistral_text(instruction: Column, body: Column, output: Column) -> Column:
     return F.concat(F.lit("<s>[INST] "), instruction, F.lit("\n\n"), body, F.lit(" [/INST] "), output, F.lit("</s>"))
 
 
-def training_rows(rows, fmt: str = "alpaca"):
-    """instruction, input, output in a trainer's format; an unknown format is alpaca."""
-    cols = F.col("instruction"), F.col("input"), F.col("output")
+def formatted(instruction: str, body: str, output: str, fmt: str = "alpaca") -> list[Column]:
+    """The columns of a trainer's format; an unknown format is alpaca."""
+    cols = F.col(instruction), F.col(body), F.col(output)
     if fmt == "chatml":
-        return rows.select(chat_messages(*cols).alias("messages"))
+        return [chat_messages(*cols).alias("messages")]
     if fmt in ("llama", "mistral"):
-        return rows.select((llama_text if fmt == "llama" else mistral_text)(*cols).alias("text"))
-    return rows.select(*cols)
+        return [(llama_text if fmt == "llama" else mistral_text)(*cols).alias("text")]
+    return [c.alias(n) for c, n in zip(cols, ("instruction", "input", "output"), strict=True)]
+
+
+def training_rows(rows, fmt: str = "alpaca"):
+    """instruction, input, output in a trainer's format."""
+    return rows.select(*formatted("instruction", "input", "output", fmt))
 
 
 def nonempty(*cols: Column) -> Column:

@@ -2,30 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.functions import text as T
 from quarrymill.operators import tables as O
+from quarrymill.plans import assembly, documents, evaluation, figures, responses, tracking  # noqa: F401 - they register their queries
+from quarrymill.plans.registry import ORACLES, QUERIES, query
+from quarrymill.plans.registry import table as _t
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
 MOST = T.max_chars(3500)
 HEADS = ("abstract", "introduction", "method", "result", "conclusion")
 
 
-def query(sql: str):
-    def add(f):
-        QUERIES[f.__name__], ORACLES[f.__name__] = f, sql
-        return f
-
-    return add
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _rows(spark, sf_dir) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Describe "), "source").alias("instruction"), F.col("text").alias("input"), F.concat(F.lit("lang="), "lang").alias("output"))
 
@@ -66,11 +55,6 @@ def extraction_method_hist(spark, sf_dir):
 
 
 def _paper(spark, sf_dir) -> DataFrame:
-    parts = [F.concat(F.lit(f"\n## {h.capitalize()}\n"), F.substring("text", 1 + 400 * i, 400)) for i, h in enumerate(HEADS)]
-    return _t(spark, sf_dir, "documents").select("doc_id", F.concat(*parts).alias("paper"))
-
-
-def _whole_paper(spark, sf_dir) -> DataFrame:
     """The whole text over the headings: fifths of its length, the last one to the end."""
     fifth = F.floor(F.length("text") / len(HEADS)).cast("int")
     sizes = [fifth] * (len(HEADS) - 1) + [F.length("text")]
@@ -78,29 +62,44 @@ def _whole_paper(spark, sf_dir) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", F.concat(*parts).alias("paper"))
 
 
-_PAPER = "(SELECT doc_id, " + " || ".join(f"chr(10) || '## {h.capitalize()}' || chr(10) || substring(text, {1 + 400 * i}, 400)" for i, h in enumerate(HEADS)) + " AS paper FROM documents)"
+_SLICE = lambda i: f"substring(text, 1 + length(text) // {len(HEADS)} * {i}" + (f", length(text) // {len(HEADS)})" if i < len(HEADS) - 1 else ")")
+_PAPER = "(SELECT doc_id, " + " || ".join(f"chr(10) || '## {h.capitalize()}' || chr(10) || {_SLICE(i)}" for i, h in enumerate(HEADS)) + " AS paper FROM documents)"
 
 
-def _section_sql(name: str) -> str:
+def _section_case(name: str) -> str:
     whens = " ".join(f"WHEN regexp_matches(paper, '{p}') THEN regexp_replace(regexp_extract(paper, '{p}', 1), '\\A\\s+|\\s+\\z', '', 'g')" for p in T.section_patterns(name))
-    return f"SELECT doc_id, substring(CASE {whens} ELSE '' END, 1, {T.SECTION_CHARS[name]}) AS body FROM {_PAPER}"
+    return f"substring(CASE {whens} ELSE '' END, 1, {T.SECTION_CHARS[name]})"
+
+
+def _section(name: str):
+    @query(f"SELECT doc_id, {_section_case(name)} AS body FROM {_PAPER}")
+    def sections(spark, sf_dir):
+        return _paper(spark, sf_dir).select("doc_id", T.section(F.col("paper"), name).alias("body"))
+
+    QUERIES[f"sections_{name}"], ORACLES[f"sections_{name}"] = QUERIES.pop("sections"), ORACLES.pop("sections")
 
 
 for _name in T.SECTION_CHARS:
-    QUERIES[f"sections_{_name}"] = lambda spark, sf_dir, n=_name: _paper(spark, sf_dir).select("doc_id", T.section(F.col("paper"), n).alias("body"))
-    ORACLES[f"sections_{_name}"] = _section_sql(_name)
+    _section(_name)
+
+_SMART = 1500
+_CUT = "chr(10) || chr(10) || '[Content truncated...]'"
+_PARTS = ", ".join(f"CASE WHEN s_{k} <> '' THEN '## {k.capitalize()}' || chr(10) || left(s_{k}, {2000 if k in ('methods', 'results') else n}) END" for k, n in T.SECTION_CHARS.items())
 
 
+@query(
+    f"""WITH s AS (SELECT doc_id, paper, {', '.join(f'{_section_case(k)} AS s_{k}' for k in T.SECTION_CHARS)} FROM {_PAPER}),
+j AS (SELECT doc_id, paper, concat_ws(chr(10) || chr(10), {_PARTS}) AS joined FROM s)
+SELECT doc_id, CASE WHEN length(paper) <= {_SMART} THEN 'none_needed' ELSE 'regex' END AS method, CASE WHEN length(paper) <= {_SMART} THEN paper WHEN length(joined) > {_SMART} THEN left(joined, {_SMART}) || {_CUT}
+  WHEN {_SMART} - length(joined) - 100 > 1000 AND length(paper) > length(joined) THEN joined || chr(10) || chr(10) || '## Additional Content' || chr(10) || substring(paper, length(joined) + 1, {_SMART} - length(joined) - 100) ELSE joined END AS text FROM j"""
+)
 def truncate_smart(spark, sf_dir):
-    papers = _whole_paper(spark, sf_dir)
+    papers = _paper(spark, sf_dir)
     papers = papers.withColumns({f"s_{k}": T.section(F.col("paper"), k) for k in T.SECTION_CHARS})
-    text, method = T.truncated(F.col("paper"), 1500, "smart", {k: F.col(f"s_{k}") for k in T.SECTION_CHARS})
+    text, method = T.truncated(F.col("paper"), _SMART, "smart", {k: F.col(f"s_{k}") for k in T.SECTION_CHARS})
     return papers.select("doc_id", text.alias("text"), method.alias("method"))
 
 
-QUERIES["truncate_smart"] = truncate_smart
-
-
 @query(f"SELECT * EXCLUDE doc_id FROM {_ROWS}")
 def format_alpaca(spark, sf_dir):
     return T.training_rows(_rows(spark, sf_dir), "alpaca")
@@ -180,69 +179,11 @@ def tracker_latest(spark, sf_dir):
     return O.latest(_t(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value"), "user_id", ["ts", "event_id"]).select("user_id", "event_type", "value")
 
 
-def _tracker(spark, sf_dir):
-    return O.stage_table(_t(spark, sf_dir, "events"), "user_id", "event_type", ["view", "click", "purchase"], "error")
-
-
-_TRACKER = "(SELECT user_id, bool_or(event_type = 'view') AS view, bool_or(event_type = 'click') AS click, bool_or(event_type = 'purchase') AS purchase, bool_or(event_type = 'error') AS failed FROM events GROUP BY 1)"
-
-
-@query(f"SELECT user_id FROM {_TRACKER} WHERE NOT purchase")
-def tracker_pending(spark, sf_dir):
-    return _tracker(spark, sf_dir).where(~F.col("purchase")).select("user_id")
-
-
-@query(f"SELECT user_id FROM {_TRACKER} WHERE purchase")
-def tracker_completed(spark, sf_dir):
-    return _tracker(spark, sf_dir).where("purchase").select("user_id")
-
-
-@query(f"SELECT user_id FROM {_TRACKER} WHERE failed")
-def tracker_failed(spark, sf_dir):
-    return _tracker(spark, sf_dir).where("failed").select("user_id")
-
-
-@query(f"SELECT count(*) AS total, count(*) FILTER (view) AS viewed, count(*) FILTER (click) AS clicked, count(*) FILTER (purchase) AS bought, count(*) FILTER (failed) AS failed FROM {_TRACKER}")
-def tracker_summary(spark, sf_dir):
-    c = F.count_if
-    return _tracker(spark, sf_dir).agg(F.count("*").alias("total"), c("view").alias("viewed"), c("click").alias("clicked"), c("purchase").alias("bought"), c("failed").alias("failed"))
-
-
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
 def stage_stats(spark, sf_dir):
     return _t(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
 
 
-def _sides(spark, sf_dir):
-    v = _t(spark, sf_dir, "embeddings")
-    # A vector's first 63 signs stand for its image hash.
-    bits = F.aggregate(F.slice("embedding", 1, 63), F.lit(0).cast("long"), lambda a, x: a * 2 + F.when(x > 0, 1).otherwise(0))
-    side = lambda odd, n: v.where(F.col("vec_id") % 2 == odd).select("label", F.col("vec_id").alias(f"{n}_id"), bits.alias(f"{n}_hash"))
-    return side(0, "l"), side(1, "r")
-
-
-def _matches(spark, sf_dir):
-    left, right = _sides(spark, sf_dir)
-    score = T.hamming_score(F.bit_count(F.col("l_hash").bitwiseXOR(F.col("r_hash"))))
-    return O.match_pairs(left, right, "label", score)
-
-
-_MATCHES = """(SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, l_id, r_id) AS rank FROM (
-  SELECT a.label, a.vec_id AS l_id, b.vec_id AS r_id, greatest(0.0, 1 - list_sum(list_transform(list_zip(a.embedding[1:63], b.embedding[1:63]), lambda z: ((z[1] > 0) <> (z[2] > 0))::INT)) / 64.0)::DOUBLE AS score
-  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id % 2 = 0 AND b.vec_id % 2 = 1) WHERE score >= 0.1)"""
-
-
-@query(f"SELECT label, l_id, r_id, score, rank FROM {_MATCHES}")
-def match_rank(spark, sf_dir):
-    return _matches(spark, sf_dir).select("label", "l_id", "r_id", "score", "rank")
-
-
-@query(f"SELECT CASE WHEN score >= 0.5 THEN 'same' ELSE 'similar' END AS verdict, count(*) AS n FROM {_MATCHES} WHERE score >= 0.25 GROUP BY 1")
-def match_counts(spark, sf_dir):
-    v = _matches(spark, sf_dir).select(O.feature_verdict(F.col("score")).alias("verdict")).where("verdict IS NOT NULL")
-    return v.groupBy("verdict").agg(F.count("*").alias("n"))
-
-
 @query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn, text) AS text FROM conversations WHERE regexp_matches(text, '\\S') GROUP BY 1")
 def pages_concat(spark, sf_dir):
     return O.ordered_text(_t(spark, sf_dir, "conversations"), "conv_id", "turn", "text")
