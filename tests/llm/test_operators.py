@@ -7,7 +7,7 @@ import duckdb
 import pytest
 import xxhash
 
-from quarrymill.llm import balltree, catalog, chat, lines, media, mixing, pieces, quality, secrets, simhash, substrings
+from quarrymill.llm import catalog, chat, lines, media, mixing, pieces, quality, secrets, simhash, substrings
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long"
@@ -96,13 +96,6 @@ def test_lines_edges(odd):
     assert got[1] is None and got[2] == "" and got[5] == "one two\nthree four\nfive\n" and got[6] == "" and got[7] == ""
 
 
-def test_top_k_ties_and_nulls(spark):
-    rows = [(i, [1.0, 0.5]) for i in range(30)] + [(30, None), (31, [1.0, None]), (32, [float("nan"), 1.0]), (33, [9.0, 9.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = balltree.top_k(df, "vec_id = 0", k=3, shard_rows=8).orderBy("rank").collect()
-    assert [(r["vec_id"], r["score"]) for r in got] == [(33, 64 * 576 + 32 * 576), (1, 5120), (2, 5120)]
-
-
 def test_chat_round_trip(spark):
     odd = [(1, 0, "system", "be <|end|> kind"), (1, 1, "user", None), (1, 2, "assistant", "a\\<s>"), (1, 3, "assistant", "w " * 50), (2, None, None, ""), (2, 1, "assistant", "[INST]|>\n")]
     df = spark.createDataFrame(odd, "conv_id long, turn long, role string, text string")
