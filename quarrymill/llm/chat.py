@@ -1,19 +1,21 @@
 """Chat formatting in budgeted windows.
 
-Prefix sums of the turns' tokens place every turn: the line of a conversation's tokens is cut every
-`stride` tokens; the turns that lie within one cell are a span, a turn that crosses a cut is a span of its own.
-Spans are so turn-aligned, at most `stride` tokens long or one turn, and known from a turn's own prefix sum. A
-window is a span, before it the system turn that begins the conversation, and between them the whole turns that lie
-within `history` tokens, less the system turn's, right before the span: contiguous, none if the last one is too long.
-A window has so at most stride + history tokens, or more by one turn of more than a stride or a system turn of more
-than the history. What a window repeats is masked; of its own turns the
-assistant's texts carry the loss, each once.
+Prefix sums of the turns' tokens place every turn: the line of a conversation's tokens is cut every `stride` tokens,
+where the stride is the budget less the system turn that begins the conversation (half of the budget at least). The
+turns that lie within one cell are a span, a turn that crosses a cut is a span of its own. Spans are so turn-aligned, at
+most a stride long or one turn, and known from a turn's own prefix sum. A window is a span, before it the system turn,
+and between them the whole turns that lie within `history` tokens and what is left of the budget, right before the span:
+contiguous, none if the last one is too long. So system turn, history and span together keep within the budget, but for
+what cannot be cut: a lone turn of more than a stride, a system turn of more than half of the budget. What a window
+repeats is masked; of its own turns the assistant's texts carry the loss, each once.
 
 Rows are sorted by (conv_id, turn) in ranges, which cut long conversations; a range's sums give the offsets
-of the next, so that no conversation is gathered before it is packed into spans.
+of the next, so that no conversation is gathered before it is packed into spans. Only reading back, which makes one
+digest of a conversation's turns in order, streams its windows through one task.
 
-The template is `<|role|>` newline text `<|end|>` newline. Control strings inside roles and texts are escaped
-by a backslash after their first character (a backslash by another), which `unescape` undoes.
+The template is `<|role|>` newline text `</|>` newline. Control strings begin with one of `<`, `|` and `[`; inside
+roles and texts a backslash follows each of these, whatever stands next, and each backslash is doubled. So no control
+string remains, also none that overlaps another, and `unescape` gives every text back.
 
 Defined results: null text and null role are empty; null turn comes first; a null conversation is one of its
 own; ties of a turn go by role, then text; repeated rows are turns; empty table, empty result; further columns ignored.
@@ -30,24 +32,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import n_words, written
+from quarrymill.llm.common import looked_up, n_words, written
 
-STRIDE = 1024
+#: Tokens of a window, and of the history that it repeats.
+BUDGET = 1280
 HISTORY = 256
 #: Tokens that the template adds to a turn.
 TURN_TOKENS = 4
-#: Control strings of common templates.
-CONTROLS = ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
-_END = "<|end|>\n"
-_ESCAPED = re.compile("|".join(re.escape(c) for c in ("\\", *CONTROLS)))
+#: Control strings of common templates; each begins with one of OPENERS.
+CONTROLS = ("<|", "|>", "</|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+OPENERS = "<|["
+#: System turns of at most so many conversations are broadcast.
+SYSTEMS = 2000
+_END = "</|>\n"
+_ESCAPE = str.maketrans({c: c + "\\" for c in OPENERS} | {"\\": "\\\\"})
+_ESCAPED = re.compile(r"([<|\[])\\|\\\\")
 
 
 def escape(text: str) -> str:
-    return _ESCAPED.sub(lambda m: "\\\\" if m[0] == "\\" else m[0][0] + "\\" + m[0][1:], text)
+    return text.translate(_ESCAPE)
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\(\\?)", r"\1", text)
+    return _ESCAPED.sub(lambda m: m[1] or "\\", text)
 
 
 def turn_text(role: str, text: str) -> tuple[str, int]:
@@ -73,8 +80,8 @@ def read_window(text: str, n_repeated: int, loss: list[tuple[int, int]]) -> tupl
     """(own turns, texts under the loss mask) back from a formatted window."""
     turns = []
     for s in text.split(_END)[n_repeated:-1]:
-        role, body = s.split("|>\n", 1)
-        turns.append((unescape(role[2:]), unescape(body)))
+        stop = s.index("|>\n", 2)
+        turns.append((unescape(s[2:stop]), unescape(s[stop + 3 :])))
     return turns, [unescape(text[a:b]) for a, b in loss]
 
 
@@ -93,22 +100,27 @@ def _placed(turns: DataFrame) -> DataFrame:
     return placed.select("conv_id", "seq", "role", "text", (F.col("ahead") + F.col("upto") - F.col("n")).alias("start"), (F.col("ahead") + F.col("upto")).alias("stop"))
 
 
-def windows(turns: DataFrame, stride: int = STRIDE, history: int = HISTORY) -> DataFrame:
+def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """conv_id, span, text, n_repeated, loss: turns has conv_id, turn, role, text."""
-    cell = F.floor(F.col("start") / stride)
-    crosses = F.col("stop") > (cell + 1) * stride
-    span = cell * 2 + crosses.cast("long")
-    placed = _placed(turns).withColumn("own", span)
-    opens = F.col("start") == 0
-    begun = placed.where(opens & (F.col("role") == "system")).select(F.col("conv_id").alias("b_conv"), F.col("stop").alias("taken"))
+    if not 0 <= history <= budget // 2:
+        raise ValueError("the history must fit in half of the budget")
+    placed = _placed(turns)
+    opens = (F.col("start") == 0) & (F.col("role") == "system")
+    begun = placed.where(opens).select(F.col("conv_id").alias("b_conv"), F.col("stop").alias("taken"))
+    placed = looked_up(placed, written(begun, "chat-systems"), {"conv_id": "b_conv"}, "seq", "left").drop("b_conv")
+    placed = placed.withColumn("taken", F.coalesce("taken", F.lit(0))).withColumn("stride", budget - F.least("taken", F.lit(budget // 2)))
+    cell = F.floor(F.col("start") / F.col("stride"))
+    crosses = F.col("stop") > (cell + 1) * F.col("stride")
+    placed = written(placed.withColumn("own", cell * 2 + crosses.cast("long")), "chat-placed")
     # A window's start is that of its first own turn; the system turn is repeated in all but its own.
-    begins = placed.groupBy("conv_id", "own").agg(F.min("start").alias("begin")).where("begin > 0")
-    begins = begins.join(begun, F.col("conv_id").eqNullSafe(F.col("b_conv")), "left")
-    begins = begins.select(F.col("conv_id").alias("w_conv"), F.col("own").alias("at"), "begin", (F.col("begin") - F.greatest(F.lit(0), history - F.coalesce("taken", F.lit(0)))).alias("since"))
+    begins = placed.groupBy("conv_id", "own").agg(F.min("start").alias("begin"), F.max("stop").alias("end"), F.first("taken").alias("room")).where("begin > 0")
+    room = F.greatest(F.lit(0), F.least(F.lit(history), budget - F.col("room") - (F.col("end") - F.col("begin"))))
+    begins = begins.select(F.col("conv_id").alias("w_conv"), F.col("own").alias("at"), "begin", (F.col("begin") - room).alias("since"))
     # A turn can be history in its own cell's crossing window, and in the cells that start within `history` after it.
-    ahead = F.filter(F.sequence(cell + 1, cell + 1 + history // stride), lambda c: c * stride - history <= F.col("start"))
+    last = cell + 1 + F.floor(F.lit(history) / F.col("stride"))
+    ahead = F.filter(F.sequence(cell + 1, last), lambda c: c * F.col("stride") - history <= F.col("start"))
     spans = F.concat(F.array(cell * 2 + 1), F.flatten(F.transform(ahead, lambda c: F.array(c * 2, c * 2 + 1))))
-    tried = placed.where(~(opens & (F.col("role") == "system"))).withColumn("to", F.explode(spans)).where("`to` <> own")
+    tried = placed.where(~opens).withColumn("to", F.explode(spans)).where("`to` <> own")
     same = F.col("conv_id").eqNullSafe(F.col("w_conv")) & (F.col("to") == F.col("at"))
     late = tried.join(begins, same & (F.col("start") >= F.col("since")) & (F.col("stop") <= F.col("begin"))).select(*placed.columns, "at")
     placed = placed.withColumn("at", F.col("own")).unionByName(late)
@@ -116,7 +128,7 @@ def windows(turns: DataFrame, stride: int = STRIDE, history: int = HISTORY) -> D
     opening = F.element_at("turns", 1)
     packed = written(packed, "chat-spans")
     systems = packed.where((F.col("span") < 2) & opening["opens"] & (opening["role"] == "system") & opening["mine"]).select(F.col("conv_id").alias("s_conv"), opening["text"].alias("system"))
-    joined = packed.join(systems, F.col("conv_id").eqNullSafe(F.col("s_conv")), "left").select("conv_id", "span", "turns", "system")
+    joined = looked_up(packed, written(systems, "chat-openings"), {"conv_id": "s_conv"}, "span", "left", SYSTEMS).select("conv_id", "span", "turns", "system")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,9 +152,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         fresh = lambda: [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-        conv, state, begun = None, fresh(), False
+        conv, state, begun, kind = None, fresh(), False, None
         for batch in batches:
-            done = []
+            done, kind = [], batch.schema.field("conv_id").type
             for lo in range(0, batch.num_rows, 200):
                 for r in batch.slice(lo, 200).to_pylist():
                     if begun and r["conv_id"] != conv:
@@ -157,7 +169,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
                         state[3].update(text.encode())
                     state[0] += len(turns)
                     state[4] += len(r["text"])
-            yield _batch(done, batch.schema.field("conv_id").type, names)
+            yield _batch(done, kind, names)
         if begun:
             yield _batch([(conv, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4])], kind, names)
 
@@ -166,6 +178,5 @@ def read_back(formatted: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
     key = formatted.schema["conv_id"].dataType.simpleString()
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[key]
     sorted_ = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "span")
     return sorted_.mapInArrow(run, f"conv_id {key}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")

@@ -73,13 +73,13 @@ def dropped(table: DataFrame) -> None:
         delete(table.sparkSession, file)
 
 
-def looked_up(rows: DataFrame, small: DataFrame, on: dict[str, str], spread: str, how: str = "inner") -> DataFrame:
+def looked_up(rows: DataFrame, small: DataFrame, on: dict[str, str], spread: str, how: str = "inner", most: int | None = None) -> DataFrame:
     """rows joined with small (from `written`, no name in common) on row column -> small column, null equal to null.
 
-    small is broadcast where its count allows; else rows are salted by `spread`, so that no key, however common, goes to one task.
+    small is broadcast where its count allows (most, by default BROADCAST_ROWS, which is meant for rows of few numbers); else rows are salted by `spread`, so that no key, however common, goes to one task.
     """
     same = reduce(lambda a, b: a & b, [F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`")) for a, b in on.items()])
-    if small.count() <= BROADCAST_ROWS:
+    if small.count() <= (BROADCAST_ROWS if most is None else most):
         return rows.join(F.broadcast(small), same, how)
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(F.col(f"`{spread}`")), F.lit(SALTS)).cast("int"))
     copies = small.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -99,7 +99,7 @@ def test_lines_edges(odd):
 def test_chat_round_trip(spark):
     odd = [(1, 0, "system", "be <|end|> kind"), (1, 1, "user", None), (1, 2, "assistant", "a\\<s>"), (1, 3, "assistant", "w " * 50), (2, None, None, ""), (2, 1, "assistant", "[INST]|>\n")]
     df = spark.createDataFrame(odd, "conv_id long, turn long, role string, text string")
-    made = chat.windows(df, stride=20, history=12)
+    made = chat.windows(df, budget=32, history=12)
     assert made.where("n_repeated > 0").count() > 0
     got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"]) for r in chat.read_back(made).collect()}
     for conv in (1, 2):
