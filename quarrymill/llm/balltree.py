@@ -226,8 +226,8 @@ def _compact(x: np.ndarray) -> tuple[str, bytes]:
     return "float64", x.tobytes()
 
 
-def _packed(vectors: DataFrame, shards: int) -> DataFrame:
-    """shard, ids, kind, x, centre, radius: a row per shard. Cells of space that hold too much are split by a hash."""
+def _packed(vectors: DataFrame, shards: int, most: int) -> DataFrame:
+    """shard, ids, kind, x, centre, radius: a row per shard. Cells of space that hold more than `most` rows are split by a hash."""
     cells = min(shards, CELLS)
     sample = _matrix(vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow().column("v"))
     coarse = CoarseTree(sample, cells)
@@ -239,7 +239,7 @@ def _packed(vectors: DataFrame, shards: int) -> DataFrame:
 
     rows = written(vectors.mapInArrow(dealt, "cell int, vec_id long, v array<double>"), "topk-cells")
     # A row a cell, at most CELLS of them.
-    parts = {r["cell"]: -(-r["n"] // SHARD_ROWS) for r in rows.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    parts = {r["cell"]: -(-r["n"] // most) for r in rows.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     split = F.element_at(F.create_map(*[F.lit(x) for c, n in parts.items() for x in (c, n)]), F.col("cell")) if parts else F.lit(1)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("vec_id"), split).cast("int"))
 
@@ -310,7 +310,7 @@ def top_k(rows: DataFrame, queries, k: int = 20, scale: int = SCALE, id_col="vec
     if facts["low"] != facts["high"]:
         raise ValueError("vectors of several lengths")
     shards, groups = _grid(facts["n"], facts["m"], tasks or 2 * spark.sparkContext.defaultParallelism)
-    packed = _packed(vectors, shards)
+    packed = _packed(vectors, shards, min(SHARD_ROWS, max(LEAST_ROWS, -(-facts["n"] // shards))))
     got = packed.select("shard", "centre", "radius").orderBy("shard").toArrow()
     balls = got.column("shard").to_numpy(), np.array(got.column("centre").to_pylist() or np.empty((0, 1))), got.column("radius").to_numpy()
     asked = vectors.where(queries).select(F.col("vec_id").alias("query_id"), "v")

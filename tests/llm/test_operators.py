@@ -124,14 +124,6 @@ def test_viterbi_is_best():
     assert [names[i] for i in codec.encode("abc")] == ["▁a", "bc"]
 
 
-def test_quality_held_out(spark, docs):
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
-    fit, rest = labels.where("doc_id % 4 <> 0"), labels.where("doc_id % 4 = 0")
-    out = quality.score(docs, quality.train(docs, fit)).join(rest.select("doc_id", "quality").withColumnRenamed("quality", "truth"), "doc_id").collect()
-    assert sum(r["keep"] == bool(r["truth"]) for r in out) >= 0.9 * len(out)
-    assert quality.score(docs, quality.train(docs, labels.limit(0))).where("NOT keep").count() == 0
-
-
 def test_secrets_brute(docs, odd):
     for df in (docs, odd):
         text = {r["doc_id"]: r["text"] or "" for r in df.collect()}
