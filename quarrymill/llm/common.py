@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -173,6 +174,11 @@ def as_bytes(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def kept(name: str) -> dict:
+    """A dictionary that a Python worker keeps from task to task, also where the package was sent by value."""
+    return sys.__dict__.setdefault(f"_quarrymill_{name}", {})
+
+
 def n_words(text) -> F.Column:
     """Number of words of a text column as long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -6,7 +6,9 @@ highest sum of scores, of equal sums the one whose last differing piece is longe
 no piece costs the least score minus 10 and becomes its UTF-8 bytes' pieces.
 
 No piece may hold a marker after another character (checked when a model is read). So a cut before each run
-of markers is in every segmentation, the parts are solved on their own, and a part's ids are remembered.
+of markers is in every segmentation, the parts are solved on their own, and a short part's ids are remembered. Many
+parts of about one length are solved together, a lone or long one by a plain walk of the trie, which lets go of what lies
+before a place that no piece crosses (a stretch without such a place takes 16 bytes of memory a byte).
 
 Defined results: null text has null ids, empty text no ids; a marker character that stands in the text
 itself becomes byte pieces, so that decoding gives it back and the round trip is exact; texts of any length
@@ -18,21 +20,26 @@ from __future__ import annotations
 
 import pickle
 import re
+from array import array
+from collections import ChainMap
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quarrymill.llm.common import pieces
+from quarrymill.llm.common import kept, pieces
 
 MARK = "▁"
 #: Remembered parts; the memory is emptied beyond it.
 REMEMBERED = 250_000
-#: Cells (parts times the length of the longest) that are solved together; a longer part stands alone.
+#: Cells (parts times the length of the longest) that are solved together.
 CELLS = 1 << 18
+#: Fewer parts than this, or parts of more bytes than LONG, are walked one by one; parts beyond LONG are not remembered.
+TOGETHER, LONG = 200, 1 << 12
+#: Characters of a text that are cut into parts at once.
+SLICE = 1 << 20
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _UNKNOWN_COST = 10.0
 #: Stands for a marker of the text itself while parts are cut; no text can hold a lone surrogate.
@@ -132,10 +139,11 @@ class Codec:
         self.longest = max((len(model.pieces[i].encode()) for i in numbers), default=0)
         self.numbers = np.array(numbers, np.int32)
         self.scores = np.array([model.scores[i] for i in numbers], float)
+        self.score_list = self.scores.tolist()
         self.unknown = min(self.scores.tolist(), default=0.0) - _UNKNOWN_COST
         byte_ids = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True)) if k == "byte"}
-        if len(byte_ids) != 256:
-            raise ValueError("a model with all 256 byte pieces is needed")
+        if len(byte_ids) != 256 or MARK not in model.pieces:
+            raise ValueError("a model with all 256 byte pieces and the marker is needed")
         self.byte_ids = np.array([byte_ids[c] for c in range(256)], np.int32)
         self.bytes_of = pa.array([b"" if k == "control" else bytes([int(p[3:5], 16)]) if k == "byte" else p.replace(MARK, " ").encode() for p, k in zip(model.pieces, model.kinds, strict=True)], pa.large_binary())
         #: part without its first marker -> its ids as native 32-bit integers
@@ -207,33 +215,101 @@ class Codec:
         flat = out.tobytes()
         return [flat[4 * (end - k) : 4 * end] for end, k in zip((wide * np.arange(1, n + 1)).tolist(), many.tolist(), strict=True)]
 
-    def learn(self, new: list[str]) -> None:
-        """Remember parts; those of about one length are solved together."""
+    def walk(self, part: bytes) -> bytes:
+        """Ids of one part."""
+        base, check, value = self.trie.arrays
+        scores, unknown, sizes, none = self.score_list, self.unknown, _CHAR_BYTES.tolist(), float("-inf")
+        n, out = len(part), bytearray()
+        own = part.replace(_OWN_BYTES, MARK.encode())
+        best, back, piece = array("d", [none]) * (n + 1), array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+        best[0], start, reach = 0.0, 0, 0
+        for i in range(n):
+            here = best[i]
+            if here == none:
+                continue
+            if reach <= i and i - start >= LONG:
+                out += self._back(own, start, i, back, piece)
+                start, here = i, 0.0
+            char = i + sizes[part[i]]
+            state, j, single = 0, i, False
+            while j < n:
+                to = base[state] + part[j] + 1
+                if check[to] != state:
+                    break
+                state, j = to, j + 1
+                k = value[state]
+                if k >= 0:
+                    s = here + scores[k]
+                    if s > best[j]:
+                        best[j], back[j], piece[j] = s, i, k
+                    single = single or j == char
+                    reach = max(reach, j)
+            if not single:
+                s = here + unknown
+                if s > best[char]:
+                    best[char], back[char], piece[char] = s, i, -1
+                reach = max(reach, char)
+        return bytes(out + self._back(own, start, n, back, piece))
+
+    def _back(self, own: bytes, start: int, at: int, back, piece) -> bytes:
+        """The ids from place `at` back to start, in order; an unknown character is its bytes'."""
+        ids = array("i")
+        while at > start:
+            k, before = piece[at], back[at]
+            if k >= 0:
+                ids.append(int(self.numbers[k]))
+            else:
+                ids.extend(self.byte_ids[np.frombuffer(own[before:at], np.uint8)][::-1].tolist())
+            at = before
+        ids.reverse()
+        return ids.tobytes()
+
+    def learn(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of parts; many of about one length are solved together."""
         coded = [(MARK + p.replace(" ", MARK)).encode("utf-8", "surrogatepass") for p in new]
         sizes = np.fromiter(map(len, coded), np.int64, len(coded))
         order = np.argsort(sizes, kind="stable")
         sizes, order = sizes[order], order.tolist()
-        lo = 0
+        lo, found = 0, {}
         while lo < len(order):
             widest = max(8, int(sizes[lo]) * 5 // 4)
             hi = min(int(np.searchsorted(sizes, widest, "right")), lo + max(1, CELLS // widest))
             own = order[lo:hi]
-            self.memory.update(zip([new[i] for i in own], self.viterbi([coded[i] for i in own]), strict=True))
+            parts = [coded[i] for i in own]
+            found.update(zip([new[i] for i in own], map(self.walk, parts) if len(own) < TOGETHER or widest > LONG else self.viterbi(parts), strict=True))
             lo = hi
+        return found
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as native 32-bit integers."""
-        cut = [_parts(t) if t else [] for t in texts]
+        out = []
+        for text in texts:
+            if text is None or len(text) <= SLICE:
+                out.append([_parts(text) if text else []])
+            else:
+                out.append(_parts(x) if x else [""] for x in _slices(text))
+        # Short texts together; the slices of a long one each on their own.
+        short = [x for x in out if isinstance(x, list)]
+        known = self._known(set().union(*(x[0] for x in short)) if short else set())
+        done = []
+        for x in out:
+            if isinstance(x, list):
+                done.append(b"".join(map(known.__getitem__, x[0])))
+            else:
+                done.append(b"".join(b"".join(map(self._known(set(parts)).__getitem__, parts)) for parts in x))
+        return done
+
+    def _known(self, parts: set[str]) -> dict[str, bytes]:
+        """The ids of all these parts; short ones are remembered."""
         memory = self.memory
-        new = set().union(*cut).difference(memory)
+        new = parts.difference(memory)
         if len(memory) + len(new) > REMEMBERED:
             memory.clear()
-            new = set().union(*cut)
-        self.learn(list(new))
-        out = [b"".join(map(memory.__getitem__, c)) for c in cut]
-        if len(memory) > REMEMBERED:
-            memory.clear()
-        return out
+            new = parts
+        found = self.learn(list(new))
+        long = {p: ids for p, ids in found.items() if len(p) > LONG}
+        memory.update((p, ids) for p, ids in found.items() if len(p) <= LONG)
+        return ChainMap(long, memory) if long else memory
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed([text])[0], np.int32).tolist()
@@ -261,10 +337,29 @@ def _parts(text: str) -> list[str]:
     return [p[1:] for p in re.findall(" +[^ ]*", " " + text)]
 
 
-@lru_cache(maxsize=2)
+def _slices(text: str) -> Iterator[str]:
+    """The text cut before runs of spaces, without the first space of each run that is cut at: it is the next part's marker."""
+    lo = 0
+    while True:
+        # The run of spaces that a slice begins with is part of it.
+        words = lo + len(text[lo : lo + SLICE]) - len(text[lo : lo + SLICE].lstrip(" "))
+        hi = text.find(" ", max(words, lo + SLICE))
+        while hi > words and text[hi - 1] == " ":
+            hi -= 1
+        if hi <= words:
+            yield text[lo:]
+            return
+        yield text[lo:hi]
+        lo = hi + 1
+
+
 def _codec(pickled: bytes) -> Codec:
     """A Python worker keeps its codec, and what it remembers, from task to task."""
-    return Codec(pickle.loads(pickled))
+    codecs = kept("codecs")
+    if pickled not in codecs:
+        codecs.clear()
+        codecs[pickled] = Codec(pickle.loads(pickled))
+    return codecs[pickled]
 
 
 def encode(docs: DataFrame, model: Model | None = None, id_col="doc_id", text_col="text", max_batch_bytes: int = 4 << 20) -> DataFrame:

@@ -24,14 +24,13 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, pieces, written
+from quarrymill.llm.common import as_bytes, kept, pieces, written
 
 CONTENT_DIM = 1 << 15
 META_DIM = 1 << 12
@@ -44,6 +43,8 @@ ROUNDS = 2
 CONFIDENT = 0.98
 #: Log likelihood that a view's curve must gain to count.
 GAIN = 2.0
+#: Remembered features of metadata; the memory is emptied beyond it.
+REMEMBERED = 1 << 16
 #: Bytes of text that are scored at once; a longer text is read in slices of it.
 SLICE = 1 << 20
 _META = ["source", "lang", "length"]
@@ -63,11 +64,14 @@ def _slices(text: bytes) -> Iterator[bytes]:
         yield text[lo : lo + SLICE + 2]
 
 
-@lru_cache(maxsize=1 << 16)
 def meta_features(source: str | None, lang: str | None, length: int | None) -> np.ndarray:
-    size = None if length is None else int(length).bit_length()
-    values = [source, lang, size, (source, lang), (size, lang)]
-    return np.array([zlib.crc32(f"{i}:{v!r}".encode()) % META_DIM for i, v in enumerate(values)], np.int64)
+    known, size = kept("metadata"), None if length is None else int(length).bit_length()
+    if (source, lang, size) not in known:
+        if len(known) >= REMEMBERED:
+            known.clear()
+        values = [source, lang, size, (source, lang), (size, lang)]
+        known[source, lang, size] = np.array([zlib.crc32(f"{i}:{v!r}".encode()) % META_DIM for i, v in enumerate(values)], np.int64)
+    return known[source, lang, size]
 
 
 @dataclass
