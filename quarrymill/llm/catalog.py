@@ -36,6 +36,19 @@ def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+#: Windows of 20 words, the first place of each, the words that later ones cover.
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT doc_id, unnest(range(1, greatest(len(words) - 18, 1))) AS i, words FROM w),
+k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(words[i : i + 19], ' ') ORDER BY doc_id, i) > 1 AS later FROM p),
+g AS (SELECT doc_id, list(i) AS later FROM k WHERE later GROUP BY 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM (SELECT doc_id, unnest(later) AS s FROM g)),
+t AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+r AS (SELECT t.doc_id, count(c.i) AS n_removed, string_agg(word, ' ' ORDER BY t.i) FILTER (c.i IS NULL) AS kept FROM t LEFT JOIN c USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN r USING (doc_id)
+"""
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -108,5 +121,57 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_recompression, op3_quality, op4_source_mixing, op5_secret_scan, op6_ball_tree, op7_chat_format, op8_media_columns, op9_sentencepiece, op10_simhash)}
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op6_ball_tree": OP6_SQL}
+# What SQL can say of the queries above, as queries of their own; the others are held against brute force in tests.
+
+
+def sql4_mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_source_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+#: Water-filling in closed form: with the sources by cap / weight, the first k are clamped where the level after them is below the next cap.
+SQL4 = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS size FROM d GROUP BY 1),
+w AS (SELECT *, 1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS weight FROM s),
+o AS (SELECT *, 3.0 * size / weight AS ratio, sum(size) OVER () AS total, sum(weight) OVER () AS weights FROM w),
+k AS (SELECT *, coalesce(sum(3.0 * size) OVER q, 0) AS taken, coalesce(sum(weight) OVER q, 0) AS used FROM o WINDOW q AS (ORDER BY ratio, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT arg_min((total - taken) / (weights - used), ratio) AS level FROM k WHERE (total - taken) / (weights - used) <= ratio)
+SELECT doc_id, d.size, o.size AS source_size, round(least(level * weight, 3.0 * o.size)::DOUBLE, 3) AS target FROM d JOIN o ON d.source IS NOT DISTINCT FROM o.source, l
+"""
+
+
+def sql5_secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+SQL5 = r"""
+SELECT doc_id, len(list_filter(regexp_extract_all(coalesce(text, ''), '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda x: length(x) >= 6)) AS n_assign,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20)) AS n_access,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 24)) AS n_hex FROM documents
+"""
+
+
+def sql7_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_chat_format(spark, sf_dir).drop("formatted_chars")
+
+
+def sql8_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_media_columns(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+SQL8 = """
+WITH b AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+p AS (SELECT *, octet_length(raw)::BIGINT AS n_bytes, greatest(1, (octet_length(raw) + 575) // 576)::BIGINT * 576 AS payload_bytes FROM b)
+SELECT doc_id, n_bytes, payload_bytes, sha256(raw || unhex(repeat('FF', (payload_bytes - n_bytes)::INT))) AS payload_sha256 FROM p
+"""
+
+
+def sql9_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_sentencepiece(spark, sf_dir).select("doc_id", "decoded_sha256")
+
+
+SQL9 = "SELECT doc_id, sha256(text) AS decoded_sha256 FROM documents"
+
+_PLAIN = (sql4_mix_targets, sql5_secret_counts, sql7_chat_turns, sql8_payloads, sql9_decoded)
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_recompression, op3_quality, op4_source_mixing, op5_secret_scan, op6_ball_tree, op7_chat_format, op8_media_columns, op9_sentencepiece, op10_simhash, *_PLAIN)}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_recompression": OP2_SQL, "op6_ball_tree": OP6_SQL} | dict(zip([f.__name__ for f in _PLAIN], (SQL4, SQL5, OP7_TURNS_SQL, SQL8, SQL9), strict=True))
