@@ -1,13 +1,44 @@
-"""Readers and writers of manifests, JSON lines, files per record, and exports."""
+"""Readers and writers: manifests, trackers, JSON, markdown, pictures, PDFs, exports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quarrymill.functions import jsonx as J
+from quarrymill.functions import scan as S
+from quarrymill.operators import track as K
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, inferSchema=True, multiLine=True, escape='"')
+#: Columns of a manifest and of a status table; a file's other columns are dropped.
+MANIFEST = ("paper_id", "local_image_path", "local_pdf_path", "title", "abstract", "conference", "year", "topics", "error")
+SPLITS = ("train", "test", "validation")
+_STATUS_TYPES = {"boolean": K.STAGES, "int": K.COUNTS, "string": ("paper_id", *K.PATHS, "started_at", "completed_at", "last_updated", "error_message"), "double": ("processing_time_seconds",)}
+
+
+def _csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text, by the header; blanks are null."""
+    return spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
+
+
+def read_manifest(spark: SparkSession, folder: str, split: str = "train") -> DataFrame:
+    """{folder}/{split}.csv with the columns of MANIFEST as text, null where the file lacks them; the three ids must be there."""
+    if split not in SPLITS:
+        raise ValueError(f"split must be one of {SPLITS}")
+    rows = _csv(spark, f"{folder}/{split}.csv")
+    if missing := [c for c in MANIFEST[:3] if c not in rows.columns]:
+        raise ValueError(f"missing columns: {missing}")
+    return rows.select([F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in MANIFEST])
+
+
+def read_status(spark: SparkSession, path: str) -> DataFrame:
+    """A tracker's status table with its declared columns; unknown ones are dropped, a missing or unreadable file is an empty table."""
+    kinds = {c: kind for kind, names in _STATUS_TYPES.items() for c in names}
+    try:
+        rows = _csv(spark, path)
+    except Exception:  # noqa: BLE001 - no file yet
+        return spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in kinds.items()))
+    return rows.select([(F.col(c) if c in rows.columns else F.lit(None)).try_cast(k).alias(c) for c, k in kinds.items()]).where("paper_id IS NOT NULL")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -15,21 +46,198 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
+def read_splits(spark: SparkSession, train: str, validation: str, fmt: str = "mistral") -> dict[str, DataFrame]:
+    """The two named splits of instruction rows in a trainer's format, without their other columns."""
+    from quarrymill.functions.text import training_rows
+
+    return {name: training_rows(read_jsonl(spark, path, "instruction string, input string, output string"), fmt) for name, path in (("train", train), ("validation", validation))}
+
+
+def _named(files: DataFrame, value: Column) -> DataFrame:
+    path = F.col("_metadata.file_path")
+    return files.select(path.alias("path"), S.stem(path).alias("id"), value)
+
+
 def read_json_files(spark: SparkSession, path: str) -> DataFrame:
     """A file per record as VARIANT; files that are no JSON are left out."""
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json")
-    return files.select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("record")).where("record IS NOT NULL")
+    return _named(files, F.try_parse_json(J.json_or_null(F.col("value"))).alias("record")).where("record IS NOT NULL")
+
+
+def with_artifacts(rows: DataFrame, layouts: DataFrame, matches: DataFrame, key: str = "paper_id") -> DataFrame:
+    """rows with layout (null where there is no file) and matches (an empty list): both tables from read_json_files, by id."""
+    a, b = layouts.select(F.col("id").alias("__a"), F.col("record").alias("layout")), matches.select(F.col("id").alias("__b"), F.col("record").alias("matches"))
+    out = rows.join(a, F.col(key) == F.col("__a"), "left").join(b, F.col(key) == F.col("__b"), "left").drop("__a", "__b")
+    return out.withColumn("matches", F.coalesce(F.try_variant_get("matches", "$.matches", "variant"), F.parse_json(F.lit("[]"))))
+
+
+def read_checkpoint(spark: SparkSession, path: str) -> dict:
+    """stage, completed_ids, failed_ids, timestamp of a saved checkpoint; a fresh one where there is none."""
+    fresh = {"stage": "poster_parsing", "completed_ids": [], "failed_ids": [], "timestamp": None}
+    try:
+        row = spark.read.schema("stage string, completed_ids array<string>, failed_ids array<string>, timestamp string").json(path, multiLine=True).first()
+    except Exception:  # noqa: BLE001 - no file yet
+        return fresh
+    return fresh | {k: v for k, v in row.asDict().items() if v is not None} if row else fresh
 
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    """(id, path, text): of each folder the first markdown file by path; the folder's name is the id."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    named = files.withColumn("id", F.regexp_extract("path", r"([^/]+)/[^/]+\z", 1))
+    return named.groupBy("id").agg(F.min_by(F.struct("path", "text"), "path").alias("f")).select("id", "f.path", "f.text")
+
+
+def _binary(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+
+
+def list_figures(spark: SparkSession, path: str, source: str = "paper") -> DataFrame:
+    """PNG files in the order of their paths, with id (the stem), source and size; contents are not read."""
+    files = _binary(spark, path, "*.png").select("path", "length")
+    return files.select(S.stem(F.col("path")).alias("figure_id"), F.lit(source).alias("source_doc"), "path", "length").orderBy("path")
+
+
+def read_pdfs(spark: SparkSession, path: str, parse) -> DataFrame:
+    """(id, title, content, error) of each PDF: parse(bytes) -> text runs in Python workers, a file's failure is its error.
+
+    A folder without PDFs is an error. The title is the stem with spaces for _ and -.
+    """
+    files = _binary(spark, path, "*.pdf")
+    if files.select("path").isEmpty():
+        raise ValueError(f"no PDF files in {path}")
+
+    def run(frames):
+        import pandas as pd
+
+        for frame in frames:
+            out = []
+            for p, content in zip(frame["path"], frame["content"], strict=True):
+                try:
+                    out.append((p, parse(bytes(content)), None))
+                except Exception as e:  # noqa: BLE001 - becomes data
+                    out.append((p, None, str(e)))
+            yield pd.DataFrame(out, columns=["path", "content", "error"])
+
+    parsed = files.select("path", "content").mapInPandas(run, "path string, content string, error string")
+    stem = S.stem(F.col("path"))
+    return parsed.select(stem.alias("id"), F.regexp_replace(stem, "[_-]", " ").alias("title"), "content", "error")
+
+
+def read_paper(spark: SparkSession, path: str, parse_pdf=None) -> DataFrame:
+    """(id, content) of papers, by suffix: text files as they are, PDFs by parse_pdf(bytes)."""
+    if path.lower().endswith(".pdf"):
+        if parse_pdf is None:
+            raise ValueError("a PDF needs a parser")
+        return read_pdfs(spark, path, parse_pdf).select("id", "content")
+    return _named(spark.read.text(path, wholetext=True), F.col("value").alias("content")).select("id", "content")
+
+
+def encoded_images(spark: SparkSession, path: str, shrink=None) -> DataFrame:
+    """(path, data, media_type): base64 within the limit of an image call. A larger file goes through shrink(bytes) -> JPEG bytes."""
+    files = _binary(spark, path, "*")
+    small = S.base64_size(F.col("length")) <= S.MAX_BASE64
+    code = lambda c: F.replace(F.base64(c), F.lit("\r\n"), F.lit(""))
+    fits = files.where(small).select("path", code("content").alias("data"), S.media_type(F.col("path")).alias("media_type"))
+    if shrink is None:
+        return fits.unionByName(files.where(~small).select("path", F.lit(None).cast("string").alias("data"), S.media_type(F.col("path")).alias("media_type")))
 
+    def run(frames):
+        for frame in frames:
+            yield frame.assign(content=[shrink(bytes(c)) for c in frame["content"]])
 
-def list_figures(spark: SparkSession, path: str) -> DataFrame:
-    """PNG files with id (the stem) and size; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").option("recursiveFileLookup", True).load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)\.png$", 1).alias("figure_id"), "path", "length")
+    cut = files.where(~small).select("path", "content").mapInPandas(run, "path string, content binary")
+    return fits.unionByName(cut.select("path", code("content").alias("data"), F.lit("image/jpeg").alias("media_type")))
+
+
+def existing(rows: DataFrame, listing: DataFrame, *paths: str) -> DataFrame:
+    """Rows all of whose paths are in a listing(path)."""
+    for i, p in enumerate(paths):
+        known = listing.select(F.col("path").alias(f"__p{i}")).distinct()
+        rows = rows.join(known, F.col(p) == F.col(f"__p{i}"), "left_semi")
+    return rows
+
+
+def peek(df: DataFrame, n: int = 5) -> dict:
+    """Columns, numbers of rows and columns, and the first n rows."""
+    return {"columns": df.columns, "shape": (df.count(), len(df.columns)), "head": [r.asDict() for r in df.limit(n).collect()]}
+
+
+# Writers.
 
 
 def write_jsonl(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     rows.write.mode(mode).option("ignoreNullFields", False).json(path)
+
+
+def write_json_array(rows: DataFrame, path: str) -> None:
+    """One JSON array of all rows. For exports that one file may hold: a task writes the rows as they come."""
+    objects = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).coalesce(1)
+
+    def run(frames):
+        import pandas as pd
+
+        first = True
+        for frame in frames:
+            for j in frame["j"]:
+                yield pd.DataFrame({"value": [("[" if first else ",") + j]})
+                first = False
+        yield pd.DataFrame({"value": ["[]" if first else "]"]})
+
+    objects.mapInPandas(run, "value string").write.text(path)
+
+
+def export(rows: DataFrame, path: str, fmt: str = "jsonl") -> int:
+    """Write rows as jsonl, json, parquet or csv; returns how many."""
+    writers = {"jsonl": write_jsonl, "json": write_json_array, "parquet": lambda r, p: r.write.parquet(p), "csv": write_csv}
+    if fmt not in writers:
+        raise ValueError(f"format must be one of {sorted(writers)}")
+    writers[fmt](rows, path)
+    return rows.count()
+
+
+def write_csv(rows: DataFrame, path: str) -> None:
+    """With a header, without an index; nested columns as JSON; no file for no rows."""
+    if rows.isEmpty():
+        return
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    flat = [F.to_json(f"`{f.name}`").alias(f.name) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in rows.schema]
+    rows.select(flat).write.option("header", True).option("escape", chr(34)).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def write_records(rows: DataFrame, path: str, key: str, column: str, suffix: str = ".json") -> None:
+    """A file {key}{suffix} for each row, holding the text of a column, written by the tasks through Hadoop's file systems of pyarrow; existing ones are replaced."""
+
+    def run(part) -> None:
+        from pyarrow import fs
+
+        found, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        found.create_dir(root, recursive=True)
+        for r in part:
+            with found.open_output_stream(f"{root}/{r[0]}{suffix}") as f:
+                f.write((r[1] or "").encode())
+
+    rows.select(F.col(key).cast("string"), F.col(column).cast("string")).foreachPartition(run)
+
+
+def write_checkpoint(spark: SparkSession, path: str, stage: str, completed: list[str], failed: list[str]) -> None:
+    row = spark.createDataFrame([(stage, sorted(set(completed)), sorted(set(failed)))], "stage string, completed_ids array<string>, failed_ids array<string>")
+    row.withColumn("timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_sets(train: DataFrame, val: DataFrame, path: str) -> None:
+    """train.jsonl, val.jsonl, combined.jsonl (training rows first), each a folder."""
+    for name, rows in (("train", train), ("val", val), ("combined", train.withColumn("__s", F.lit(0)).unionByName(val.withColumn("__s", F.lit(1))).orderBy("__s").drop("__s"))):
+        write_jsonl(rows, f"{path}/{name}.jsonl", "overwrite")
+
+
+def write_summary(summary: DataFrame, results: DataFrame, path: str) -> None:
+    """An evaluation's results by sample, and its summary as one line."""
+    results.write.mode("overwrite").partitionBy("sample_id").json(f"{path}/samples")
+    summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+
+
+def shown(record: Column, most: int = 2000) -> Column:
+    """A record's JSON for a terminal: cut, with a note where it was."""
+    text = F.to_json(record, {"pretty": "true"})
+    return F.when(F.length(text) > most, F.concat(F.left(text, F.lit(most)), F.lit("\n... [output truncated]"))).otherwise(text)

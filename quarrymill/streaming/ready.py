@@ -1,14 +1,65 @@
-"""Joining records as both their sides become ready."""
+"""Records that become ready on two streams, and a tracker that follows a stream of updates."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+
+def file_stream(spark: SparkSession, path: str, schema: str, files_a_batch: int = 10) -> DataFrame:
+    """A stream of parquet files, bounded in how many a batch takes: what waits stays in the folder."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(path)
 
 
-def ready_pairs(left: DataFrame, right: DataFrame, key: str, ts: str, within: str = "1 hour") -> DataFrame:
-    """Stream-stream inner join by key; the watermarks and the time bound keep the state finite."""
-    a = left.select(F.col(key).alias("l_key"), F.col(ts).cast("timestamp").alias("l_ts")).withWatermark("l_ts", within)
-    b = right.select(F.col(key).alias("r_key"), F.col(ts).cast("timestamp").alias("r_ts")).withWatermark("r_ts", within)
+def ready_pairs(left: DataFrame, right: DataFrame, key: str, ts: str, success: str | None = None, within: str = "1 hour") -> DataFrame:
+    """Stream-stream inner join by key of the rows that both sides finished with success.
+
+    The watermarks and the time bound keep the state finite: a row whose partner comes later than `within` is dropped.
+    """
+    sides = []
+    for rows, side in ((left, "l"), (right, "r")):
+        ok = rows.where(F.coalesce(F.col(success), F.lit(False))) if success else rows
+        sides.append(ok.select(F.col(key).alias(f"{side}_key"), F.col(ts).cast("timestamp").alias(f"{side}_ts")).withWatermark(f"{side}_ts", within))
     near = F.expr(f"l_key = r_key AND r_ts BETWEEN l_ts - INTERVAL {within} AND l_ts + INTERVAL {within}")
-    return a.join(b, near).select(F.col("l_key").alias(key), "l_ts", "r_ts")
+    return sides[0].join(sides[1], near).select(F.col("l_key").alias(key), "l_ts", "r_ts")
+
+
+def run_once(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Take all that is there, then end; a later run goes on where the checkpoint says."""
+    query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def follow_tracker(updates: DataFrame, log_path: str, checkpoint: str, key: str = "paper_id") -> StreamingQuery:
+    """Append a stream of tracker updates to a log, a folder for each batch: a batch that is run again replaces its own."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        batch.where(F.col(key).isNotNull()).write.mode("overwrite").parquet(f"{log_path}/batch={number}")
+
+    query = updates.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+class Progress(StreamingQueryListener):
+    """Calls back with (rows done so far, rows of the batch)."""
+
+    def __init__(self, callback: Callable[[int, int], None]):
+        self.callback, self.done = callback, 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.done += event.progress.numInputRows
+        self.callback(self.done, event.progress.numInputRows)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
