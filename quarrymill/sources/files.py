@@ -172,6 +172,9 @@ def write_jsonl(rows: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 def write_json_array(rows: DataFrame, path: str) -> None:
     """One JSON array of all rows. For exports that one file may hold: a task writes the rows as they come."""
+    if rows.isEmpty():
+        rows.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1).write.text(path)
+        return
     objects = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).coalesce(1)
 
     def run(frames):
@@ -182,7 +185,7 @@ def write_json_array(rows: DataFrame, path: str) -> None:
             for j in frame["j"]:
                 yield pd.DataFrame({"value": [("[" if first else ",") + j]})
                 first = False
-        yield pd.DataFrame({"value": ["[]" if first else "]"]})
+        yield pd.DataFrame({"value": ["]"]})
 
     objects.mapInPandas(run, "value string").write.text(path)
 
