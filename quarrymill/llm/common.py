@@ -139,6 +139,25 @@ def ranked(rows: DataFrame, keys: tuple[str, str], place: list[str], name: str)
     return joined.where(shared).select(*rows.columns, (F.col("base") + F.col("local")).alias("rank"), later.alias("later"))
 
 
+def sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of batches sorted by their first, without nulls, cut so that no run of equal values of it is."""
+    held: list[list[np.ndarray]] = []  # rows of one value
+    for batch in batches:
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        key = cols[0]
+        if not len(key):
+            continue
+        last = int(np.searchsorted(key, key[-1], "left"))
+        if held and last == 0 and key[0] == held[0][0][0]:
+            held.append(cols)
+            continue
+        done = [*held, [c[:last] for c in cols]]
+        yield [np.concatenate(x) for x in zip(*done, strict=True)]
+        held = [[c[last:] for c in cols]]
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
 def one_batch(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 

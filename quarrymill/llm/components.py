@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import written
+from quarrymill.llm.common import dropped, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,19 +31,13 @@ def _state(edges: DataFrame) -> tuple:
     return r["n"], r["h"]
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """edges(u, v) -> (node, label) for every node that has an edge to another node."""
     edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
-    before = _state(edges)
-    for _ in range(most_rounds):
-        if not before[0]:
-            break
-        edges = written(_small_star(_large_star(edges)), "cc-edges")
-        now = _state(edges)
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError(f"no fixed point after {most_rounds} rounds")
+    before, now = None, _state(edges)
+    while now != before and now[0]:
+        last, edges = edges, written(_small_star(_large_star(edges)), "cc-edges")
+        before, now = now, _state(edges)
+        dropped(last)
     # At the fixed point every edge leads to its component's least node.
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -11,7 +11,7 @@ the first 33 bytes of each member; `read_payloads` reads whole members, checks t
 features. Shards are opened through pyarrow.fs, from the folder's URI.
 
 Defined results: null text is the empty payload, one line of bytes 255; a payload of any length is one member,
-streamed line by line; equal texts share one member and so equal values; repeated rows stay rows; an empty
+compressed by lines; equal texts share one member and so equal values; repeated rows stay rows; an empty
 table writes no shard; further columns are ignored.
 """
 
@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from quarrymill.llm.common import as_bytes, pieces, scratch_path, written
 
 WIDTH = 576
+#: Lines that are compressed at once; digests that a task remembers (beyond it a payload may be stored again, and one place is used).
+LINES, REMEMBERED = 4096, 500_000
 #: Signature and IHDR chunk.
 HEADER_BYTES = 33
 _PNG = b"\x89PNG\r\n\x1a\n"
@@ -50,11 +52,13 @@ def _chunk(kind: bytes, body: bytes) -> bytes:
 
 
 def encode_png(payload: bytes, level: int = 5) -> bytes:
-    lines = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH)
-    raw = np.zeros((len(lines), WIDTH + 1), np.uint8)  # filter type 0 before each line
-    raw[:, 1:] = lines
-    head = struct.pack(">IIBBBBB", WIDTH, len(lines), 8, 0, 0, 0, 0)
-    return _PNG + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(raw.tobytes(), level)) + _chunk(b"IEND", b"")
+    """Lines are compressed some thousand at a time, each after its filter type 0."""
+    n, packer, body = len(payload) // WIDTH, zlib.compressobj(level), []
+    for lo in range(0, len(payload), LINES * WIDTH):
+        lines = np.frombuffer(memoryview(payload)[lo : lo + LINES * WIDTH], np.uint8).reshape(-1, WIDTH)
+        body.append(packer.compress(np.pad(lines, ((0, 0), (1, 0))).tobytes()))
+    body.append(packer.flush())
+    return _PNG + _chunk(b"IHDR", struct.pack(">IIBBBBB", WIDTH, n, 8, 0, 0, 0, 0)) + _chunk(b"IDAT", b"".join(body)) + _chunk(b"IEND", b"")
 
 
 def decode_header(head: bytes) -> tuple[int, int, int, int]:
@@ -119,10 +123,12 @@ def store(docs: DataFrame, id_col="doc_id", text_col="text", root: str | None =
                         data = encode_png(payload)
                         info = tarfile.TarInfo(f"{digest[:2]}/{digest}.png")
                         info.size = len(data)
-                        have[digest] = (tar.offset + 512, len(data))
+                        if len(have) >= REMEMBERED:
+                            have.clear()
+                        have[digest] = (name, tar.offset + 512, len(data))
                         tar.addfile(info, io.BytesIO(data))
                         tar.members = []
-                    rows.append((len(text), digest, name, *have[digest]))
+                    rows.append((len(text), digest, *have[digest]))
                 cols = list(zip(*rows, strict=True))
                 types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["doc_id", "n_bytes", "digest", "shard", "offset", "length"])

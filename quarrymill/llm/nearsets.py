@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, pieces, written
+from quarrymill.llm.common import as_bytes, looked_up, pieces, sorted_runs, written
 from quarrymill.llm.components import connected_components
 from quarrymill.llm.simhash import shingle_hashes
 
@@ -97,20 +97,6 @@ def _named(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint, keys array<bigint>")
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns of batches sorted by their first, cut so that no run of it is."""
-    held: list[np.ndarray] | None = None
-    for batch in batches:
-        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        held = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
-        if len(held[0]):
-            last = int(np.searchsorted(held[0], held[0][-1], "left"))
-            yield [c[:last] for c in held]
-            held = [c[last:] for c in held]
-    if held is not None:
-        yield held
-
-
 def _buckets(keys: np.ndarray) -> Iterator[tuple[int, int]]:
     edge = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(keys) else np.zeros(1, int)
     big = np.diff(edge) > 1
@@ -121,7 +107,7 @@ def _shared(index: DataFrame) -> DataFrame:
     """bucket, fp: the members of buckets of two or more; a bucket is named by its members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, fps in _runs(batches):
+        for keys, fps in sorted_runs(batches):
             names, members = [], []
             for lo, hi in _buckets(keys):
                 own = np.sort(fps[lo:hi])
@@ -150,7 +136,7 @@ def _links(members: DataFrame, least: float) -> DataFrame:
     """(u, v): verified links of every bucket. members: bucket, fp, s."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for buckets, fps, sets in _runs(batches):
+        for buckets, fps, sets in sorted_runs(batches):
             found: list[tuple[int, int]] = []
             for lo, hi in _buckets(buckets):
                 found += set_links(fps[lo:hi], [np.frombuffer(x, np.uint64) for x in sets[lo:hi]], least)
@@ -174,11 +160,12 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: in
     # Of every set its component's least doc_id; a set without links is its own component.
     tagged = once.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     tops = tagged.groupBy("label").agg(F.min("first").alias("component_id")).withColumnRenamed("label", "top")
-    owner = tagged.join(tops, F.col("label") == F.col("top")).select(F.col("fp").alias("o_fp"), "component_id")
-    return named.join(owner, F.col("fp") == F.col("o_fp")).select("doc_id", "fp", "component_id")
+    owner = written(tagged.join(tops, F.col("label") == F.col("top")).select(F.col("fp").alias("o_fp"), "component_id"), "near-owners")
+    # A set may be that of a third of all rows.
+    return looked_up(named.select("doc_id", "fp"), owner, {"fp": "o_fp"}, "doc_id").select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """docs without those that have a component of an earlier document; its columns are unchanged."""
     drop = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__near_id")).distinct()
-    return docs.join(drop, F.col(id_col) == F.col("__near_id"), "left_anti")
+    return docs.join(drop, F.col(f"`{id_col}`") == F.col("__near_id"), "left_anti")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, pieces, written
+from quarrymill.llm.common import as_bytes, looked_up, pieces, sorted_runs, written
 from quarrymill.llm.components import connected_components
 
 SHINGLE = 3
@@ -149,15 +149,8 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(owners.view(np.int64))], ["key", "fp"])
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of equal keys in sorted input; a run may span batches."""
-        keys, fps = np.empty(0, np.int64), np.empty(0, np.int64)
-        for batch in batches:
-            keys = np.concatenate([keys, batch.column("key").to_numpy()])
-            fps = np.concatenate([fps, batch.column("fp").to_numpy()])
-            last = int(np.searchsorted(keys, keys[-1], "left")) if len(keys) else 0
-            yield from linked(keys[:last], fps[:last])
-            keys, fps = keys[last:], fps[last:]
-        yield from linked(keys, fps)
+        for keys, fps in sorted_runs(batches):
+            yield from linked(keys, fps)
 
     def linked(keys, fps) -> Iterator[pa.RecordBatch]:
         if len(keys) < 2:
@@ -190,8 +183,9 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: in
     # Of every fingerprint its component's least doc_id; a fingerprint without links is its own component.
     tagged = least.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     tops = tagged.groupBy("label").agg(F.min("least").alias("component_id")).withColumnRenamed("label", "top")
-    owner = tagged.join(tops, F.col("label") == F.col("top")).select(F.col("fp").alias("o_fp"), "component_id")
-    return fps.join(owner, F.col("fp") == F.col("o_fp")).select("doc_id", "fp", "component_id")
+    owner = written(tagged.join(tops, F.col("label") == F.col("top")).select(F.col("fp").alias("o_fp"), "component_id"), "simhash-owners")
+    # A fingerprint may be that of a third of all rows.
+    return looked_up(fps, owner, {"fp": "o_fp"}, "doc_id").select("doc_id", "fp", "component_id")
 
 
 def fingerprint_hex(fp):
@@ -201,4 +195,4 @@ def fingerprint_hex(fp):
 def deduplicated(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """docs without those that have a component of an earlier document; its columns are unchanged."""
     drop = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__near_id")).distinct()
-    return docs.join(drop, F.col(id_col) == F.col("__near_id"), "left_anti")
+    return docs.join(drop, F.col(f"`{id_col}`") == F.col("__near_id"), "left_anti")
