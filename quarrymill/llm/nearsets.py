@@ -1,11 +1,13 @@
-"""Near-duplicates by Jaccard similarity of word shingles, found by MinHash bands and verified exactly.
+"""Near-duplicates by Jaccard similarity of word shingles: candidates by SimHash and by MinHash, verified exactly.
 
-A text is the set of XXH64 of its `width` (5) words' shingles. 64 SimHash bits put two sets of Jaccard 0.8 ten
-bits apart on average, at which halves or more segments select nothing; so candidates come from BANDS bands of
-ROWS MinHash values: a pair of Jaccard 0.8 shares none of the bands with probability (1 - 0.8^6)^32 = 6e-5, a
-closer pair with less. Every candidate is verified by the Jaccard similarity of the two whole sets.
+A text is the set of XXH64 of its `width` (5) words' shingles. Candidates come from two indexes. The SimHash of the
+shingles is indexed by op10's deletion-variant signatures, at DISTANCE (3) bits, the most that halves allow. But 64 bits
+put two sets of Jaccard 0.8 ten bits apart on average (arccos(8/9) / pi of 64), and only one such pair in a hundred lies
+within 3; cut so fine that one of the segments differs by at most one bit at 15, segments have 8 bits and select nothing.
+So BANDS bands of ROWS MinHash values find the others: a pair of Jaccard 0.8 shares none of the bands with probability
+(1 - 0.8^6)^32 = 6e-5, a closer pair with less. Every candidate is verified by the Jaccard similarity of the whole sets.
 
-Equal sets are one row before the index, and buckets of the same members are one bucket. A bucket's members meet
+Equal sets are one row before the indexes, and buckets of the same members are one bucket. A bucket's members meet
 with their sets and are verified there: all pairs that a bound on their sizes allows and that the bucket has not
 joined yet. A bucket emits a star for each of its clusters, not all pairs.
 
@@ -26,10 +28,11 @@ from pyspark.sql import functions as F
 
 from quarrymill.llm.common import as_bytes, looked_up, pieces, sorted_runs, written
 from quarrymill.llm.components import connected_components
-from quarrymill.llm.simhash import shingle_hashes
+from quarrymill.llm.simhash import fingerprint, fingerprint_links, shingle_hashes
 
 WIDTH = 5
 JACCARD = 0.8
+DISTANCE = 3
 BANDS = 32
 ROWS = 6
 #: Shingles that are hashed at once.
@@ -84,17 +87,18 @@ def set_links(fps: np.ndarray, sets: list[np.ndarray], least: float = JACCARD) -
 
 
 def _named(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, fp, keys: the name and band keys of every text's set."""
+    """doc_id, fp, sim, keys: the name of every text's set, its SimHash, the set's band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                sets = [shingle_set(t, width) for t in as_bytes(part, "text")]
-                fps = np.array([name(s) for s in sets], np.uint64).view(np.int64)
+                hashes = [shingle_hashes(t, width) for t in as_bytes(part, "text")]
+                sets = [np.unique(h) for h in hashes]
+                fps, sims = (np.array(x, np.uint64).view(np.int64) for x in ([name(s) for s in sets], [fingerprint(h) for h in hashes]))
                 keys = pa.array([band_keys(s).view(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps), keys], ["doc_id", "fp", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps), pa.array(sims), keys], ["doc_id", "fp", "sim", "keys"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint, keys array<bigint>")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint, sim bigint, keys array<bigint>")
 
 
 def _buckets(keys: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -119,6 +123,14 @@ def _shared(index: DataFrame) -> DataFrame:
     return index.repartition("key").sortWithinPartitions("key").mapInArrow(run, "bucket bigint, fp bigint").distinct()
 
 
+def _similar(once: DataFrame) -> DataFrame:
+    """bucket, fp: sets of one SimHash, and those of two that deletion-variant signatures link. once: fp, sim."""
+    links = fingerprint_links(once.select(F.col("sim").alias("fp")).distinct(), DISTANCE).distinct()
+    pairs = links.select(F.xxhash64("u", "v").alias("bucket"), F.explode(F.array("u", "v")).alias("m_sim"))
+    many = once.groupBy("sim").agg(F.count("*").alias("n")).where("n > 1").select(F.xxhash64("sim").alias("bucket"), F.col("sim").alias("m_sim"))
+    return pairs.unionByName(many).join(once, F.col("m_sim") == F.col("sim")).select("bucket", "fp")
+
+
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     """fp, s: the set of every text under its name, once."""
 
@@ -151,8 +163,8 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: in
     """doc_id, fp, component_id (the least doc_id that links reach): one row per row of docs."""
     picked = docs.selectExpr(f"`{id_col}` AS doc_id", f"CAST(`{text_col}` AS STRING) AS text")
     named = written(_named(picked, width), "near-named")
-    once = written(named.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")), "near-distinct")
-    shared = written(_shared(once.select(F.explode("keys").alias("key"), "fp")), "near-shared")
+    once = written(named.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("sim").alias("sim"), F.first("keys").alias("keys")), "near-distinct")
+    shared = written(_shared(once.select(F.explode("keys").alias("key"), "fp")).unionByName(_similar(once.select("fp", "sim"))), "near-shared")
     wanted = once.join(shared.select(F.col("fp").alias("w_fp")), F.col("fp") == F.col("w_fp"), "left_semi").select("first").distinct()
     sets = _sets(picked.join(wanted, F.col("doc_id") == F.col("first"), "left_semi"), width).withColumnRenamed("fp", "s_fp")
     members = shared.join(sets, F.col("fp") == F.col("s_fp")).select("bucket", "fp", "s")

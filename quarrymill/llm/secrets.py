@@ -50,6 +50,8 @@ RULES: dict[str, tuple[str, int, int]] = {
 }
 BASE = ("assign", "access", "hex")
 
+#: A character class of at most so many literals is expanded.
+MOST_CHARS = 16
 #: A query is True (no trigram follows), a trigram, or ("and" | "or", queries).
 Query = object
 
@@ -80,6 +82,11 @@ def _walk(parsed, found: list, run: bytes) -> bytes:
             if len(chars) == 1 and None not in chars:
                 run += chars.pop()
                 continue
+            if None not in chars and len(chars) <= MOST_CHARS and len(run) >= 2:
+                # A few characters after two that are known: one of so many trigrams.
+                found += [_literal(run), _any(run[-2:] + c for c in sorted(chars) if len(c) == 1) if all(len(c) == 1 for c in chars) else True]
+                run = b""
+                continue
         if name == "SUBPATTERN" and not arg[1] and not arg[2]:
             run = _walk(arg[3], found, run)
             continue

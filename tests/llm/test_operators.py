@@ -154,3 +154,39 @@ def test_empty_tables(spark, odd):
     none = odd.limit(0)
     made = [substrings.deduplicated(none), simhash.near_duplicates(none), lines.deduplicated(none), secrets.scan(none), mixing.mix_plan(none), media.media_columns(none), pieces.encode(none), quality.score(none, None)]
     assert [m.count() for m in made] == [0] * len(made)
+
+
+def test_trigram_queries():
+    assert secrets.trigram_query(r"gh[pousr]_[A-Za-z0-9]{36,}") == ("or", (b"gho", b"ghp", b"ghr", b"ghs", b"ghu"))
+    assert secrets.trigram_query(r"xox[ab]-x") == ("and", (b"xox", ("or", (b"oxa", b"oxb"))))
+    assert secrets.trigram_query(r"[0-9a-f]+") is True and secrets.trigram_query(r"a[bc]d") is True
+    assert secrets.trigram_query(r"ab[cé]def") == b"def"
+
+
+def test_digests_of_base_secrets(odd, docs):
+    """The contract's own patterns, kinds and digest."""
+    keys = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    plain = {"assign": (rf"({keys})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6), "access": (r"AKIA[A-Z0-9]+", 0, 20), "hex": (r"[0-9a-f]+", 0, 24)}
+    for df in (odd, docs):
+        found = {}
+        for r in df.collect():
+            own = [(m.start(), k, kind, m.end()) for k, (kind, (p, g, n)) in enumerate(plain.items()) for m in re.finditer(p, r["text"] or "") if len(m.group(g)) >= n]
+            found[r["doc_id"]] = hashlib.sha256(",".join(f"{kind}:{s}:{e}" for s, _, kind, e in sorted(own)).encode()).hexdigest()
+        got = secrets.scan(df).collect()
+        for r in got:
+            base = [s for s in r["secrets"] if s["kind"] in secrets.BASE]
+            assert hashlib.sha256(",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in base).encode()).hexdigest() == found[r["doc_id"]]
+
+
+def test_media_facts(docs, odd):
+    """All values that are read back, from the payload itself."""
+    import zlib
+
+    for df in (docs, odd):
+        text = {r["doc_id"]: (r["text"] or "").encode() for r in df.collect()}
+        for r in media.media_columns(df).collect():
+            payload = media.payload_of(text[r["doc_id"]])
+            stored = media.encode_png(payload)
+            assert media.decode_png(stored) == payload
+            assert (r["n_bytes"], r["payload_bytes"], r["tail_crc32"], r["media_bytes"], r["media_sha256"]) == (len(text[r["doc_id"]]), len(payload), zlib.crc32(payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest())
+            assert (r["width"], r["height"], r["bit_depth"], r["feature"]) == (576, len(payload) // 576, 8, media.feature_of(payload))
