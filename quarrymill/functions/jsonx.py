@@ -6,6 +6,9 @@ second value passes. Objects with a repeated key and the bare words NaN and Infi
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -151,3 +154,13 @@ def layout_json(paper_id: Column, poster_path: Column, layout: Column) -> Column
 def array_size(text: Column, path: str) -> Column:
     """Number of items of a list inside a JSON text, 0 without it."""
     return F.coalesce(F.json_array_length(field(text, path)), F.lit(0))
+
+
+def python_json(indent: int | None = None):
+    """A UDF that writes a JSON text as Python's json module does: spaces after separators, ASCII, keys as they stand; null stays null."""
+
+    @F.pandas_udf("string")
+    def write(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), indent=indent))
+
+    return write

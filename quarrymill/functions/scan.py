@@ -12,6 +12,7 @@ from quarrymill.functions.jsonx import stripped
 # Results depend on them.
 INFERENCE_CHARS, INFERENCE_MARK = 20_000, "\n\n[Content truncated...]"
 EVAL_CHARS, EVAL_MARK = 4_000, "\n\n[... content truncated for length ...]"
+POSTER_HEADING = "# Poster Content\n\n"
 TITLE_LINES, NO_TITLE, UNTITLED = 20, "Research Paper", "Untitled"
 INSTRUCTION = "Generate an academic poster for the following research paper."
 MEDIA_TYPES = {"jpg": "image/jpeg", "jpeg": "image/jpeg", "png": "image/png", "gif": "image/gif", "webp": "image/webp"}
@@ -115,3 +116,29 @@ def backoff_seconds(attempt: int, status: int | None, retry_after: float | None
     if status is None or status >= 500:
         return base * (attempt + 1)
     return None
+
+
+def strip_unicode(text: Column) -> Column:
+    """Without white space of any script, and the separators U+001C to U+001F, at both ends."""
+    blank = r"[\s\x1c-\x1f\x85\p{Z}]+"
+    return F.regexp_replace(text, rf"\A{blank}|{blank}\z", "")
+
+
+def iso(ts: Column) -> Column:
+    """A time as text to microseconds, without a zone; whole seconds have no fraction."""
+    whole = F.unix_micros(ts.cast("timestamp")) % 1_000_000 == 0
+    return F.when(whole, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
+def stamp(ts: Column) -> Column:
+    return F.date_format(ts, "yyyyMMdd_HHmmss")
+
+
+def elapsed(start: Column, end: Column) -> Column:
+    """Seconds between two times."""
+    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1e6
+
+
+def poster_markdown(text: Column) -> Column:
+    """Recognised text of a poster under its fixed heading."""
+    return F.concat(F.lit(POSTER_HEADING), text)

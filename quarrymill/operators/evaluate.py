@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.functions import jsonx as J
@@ -60,3 +60,16 @@ def judge_summary(evaluations: DataFrame, column: str, models: list[str]) -> Dat
     counted = evaluations.where(won.isNotNull()).select(F.explode(F.array(*per)).alias("s")).groupBy("s.model").agg(F.sum("s.won").alias("n"), F.avg("s.total").alias("score"))
     names = evaluations.sparkSession.createDataFrame([(m,) for m in models], "model string")
     return names.join(counted, "model", "left").select("model", F.coalesce("n", F.lit(0)).alias("wins"), F.coalesce("score", F.lit(0.0)).alias("avg_score"))
+
+
+#: Short papers to try a model with.
+LITERAL_PAPERS = (
+    ("lit_0", "Counting Words at Scale", "# Counting Words at Scale\n\n## Abstract\nWe count words.\n\n## Introduction\nWords are many.\n\n## Method\nWe sort them first."),
+    ("lit_1", "Sorting Without Fear", "# Sorting Without Fear\n\n## Abstract\nWe sort rows that do not fit in memory.\n\n## Result\nIt ends."),
+    ("lit_2", "Joins of Skewed Keys", "# Joins of Skewed Keys\n\nAbstract: one key holds a third of all rows.\n\n1. Introduction\nWe salt it."),
+)
+
+
+def literal_samples(spark: SparkSession, n: int | None = None) -> DataFrame:
+    """(id, title, content) of a few papers of our own."""
+    return spark.createDataFrame(list(LITERAL_PAPERS)[:n], "id string, title string, content string")

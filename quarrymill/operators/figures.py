@@ -70,6 +70,16 @@ def combined_score(phash: Column, ssim: Column, feature: Column) -> Column:
     return F.lit(PHASH_WEIGHT) * phash + F.lit(SSIM_WEIGHT) * ssim + F.lit(FEATURE_WEIGHT) * feature
 
 
+def pair_scores(phash: Column, ssim: Column, feature: Column) -> Column:
+    """All of a pair's scores: combined, phash, ssim, feature."""
+    return F.struct(combined_score(phash, ssim, feature).alias("combined"), phash.alias("phash"), ssim.alias("ssim"), feature.alias("feature"))
+
+
+def page_numbers(elements: DataFrame, index: str = "page") -> DataFrame:
+    """+ page_number: pages count from 1."""
+    return elements.withColumn("page_number", F.col(index) + 1)
+
+
 def sign_words(vector: Column, word: int = 32) -> Column:
     """A vector's signs as an array of longs of `word` bits each."""
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(vector)), F.lit(word))

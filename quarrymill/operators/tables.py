@@ -33,6 +33,25 @@ def sliced(df: DataFrame, order: str, start: int = 0, limit: int | None = None)
     return out.limit(limit) if limit else out
 
 
+def skip_null_paths(rows: DataFrame, *paths: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that have all paths, one row with the number of those skipped for a null path)."""
+    has = F.lit(True)
+    for p in paths:
+        has &= F.col(p).isNotNull()
+    return rows.where(has), rows.agg(F.count_if(~has).alias("skipped"))
+
+
+def shuffled(rows: DataFrame, seed: int | None = None) -> DataFrame:
+    """rows in a random order; another one each time without a seed."""
+    return rows.orderBy(F.rand(seed) if seed is not None else F.rand())
+
+
+def details(ids: DataFrame, facts: DataFrame, key: str, *columns: str) -> DataFrame:
+    """ids with the columns of their row of facts; null for an unknown one."""
+    known = facts.select(F.col(key).alias("__k"), *columns)
+    return ids.join(known, F.col(key) == F.col("__k"), "left").drop("__k")
+
+
 def merge_status(source: DataFrame, status: DataFrame, key: str, suffix: str = "_tracking") -> DataFrame:
     """Left join by the key as a string; clashing columns of status get a suffix."""
     renamed = status.select([F.col(c).alias(c if c == key or c not in source.columns else c + suffix) for c in status.columns])

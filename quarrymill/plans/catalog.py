@@ -159,6 +159,20 @@ def null_counts(spark, sf_dir):
     return _manifest(spark, sf_dir).agg(F.count_if(F.col("pdf_path").isNull()).alias("no_pdf"), F.count_if(F.col("error").isNull()).alias("no_error"))
 
 
+@query(f"SELECT count(*) FILTER (image_path IS NULL OR pdf_path IS NULL) AS skipped, count(*) FILTER (image_path IS NOT NULL AND pdf_path IS NOT NULL) AS kept FROM {_MANIFEST}")
+def null_path_skips(spark, sf_dir):
+    kept, skipped = O.skip_null_paths(_manifest(spark, sf_dir), "image_path", "pdf_path")
+    return skipped.crossJoin(kept.agg(F.count("*").alias("kept")))
+
+
+@query("SELECT min(tokens) AS low, max(tokens) AS high, (sum(tokens) // count(*))::BIGINT AS mean FROM (SELECT length(text) // 4 AS tokens FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 100)")
+def train_token_sample(spark, sf_dir):
+    """Tokens of the first 100 training rows in their order: a check of their format, no statistic of the corpus."""
+    train = O.split_train_val(_t(spark, sf_dir, "documents").select("doc_id", T.estimate_tokens(F.col("text")).alias("tokens")), "doc_id").where("split = 'train'")
+    head = train.orderBy(F.md5(F.concat(F.lit("42:"), F.col("doc_id").cast("string"))), "doc_id").limit(100)
+    return head.agg(F.min("tokens").alias("low"), F.max("tokens").alias("high"), F.expr("sum(tokens) div count(*)").alias("mean"))
+
+
 @query("SELECT doc_id FROM documents SEMI JOIN labels USING (doc_id)")
 def required_files_semi(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id").join(_t(spark, sf_dir, "labels"), "doc_id", "left_semi")

@@ -146,3 +146,15 @@ def layout_sanity(spark, sf_dir):
 @query("SELECT conv_id, string_agg('## Page ' || (turn + 1) || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY turn, text) AS markdown FROM conversations WHERE regexp_matches(text, '\\S') GROUP BY 1")
 def pages_markdown(spark, sf_dir):
     return G.pages_text(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text")
+
+
+@query("SELECT conv_id, turn, turn + 1 AS page_number FROM conversations")
+def page_numbers(spark, sf_dir):
+    return G.page_numbers(table(spark, sf_dir, "conversations").select("conv_id", "turn"), "turn")
+
+
+@query("SELECT vec_id, round(0.3 * 0.5 + 0.3 * (vec_id % 3) + 0.4 * (vec_id % 2), 9)::DOUBLE AS combined, (vec_id % 3)::DOUBLE AS ssim FROM embeddings")
+def pair_scores(spark, sf_dir):
+    part = lambda n: (F.col("vec_id") % n).cast("double")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", G.pair_scores(F.lit(0.5), part(3), part(2)).alias("s"))
+    return rows.select("vec_id", F.round("s.combined", 9).alias("combined"), F.col("s.ssim").alias("ssim"))

@@ -120,3 +120,21 @@ def progress_counts(spark, sf_dir):
 def set_add(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     return e.where("event_type = 'purchase'").select("user_id").union(e.where("event_type = 'error'").select(F.col("user_id") + 100)).distinct()
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso, strftime(ts, '%Y%m%d_%H%M%S') AS stamp, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 1e6 AS seconds FROM events WHERE epoch_us(ts) % 1000000 <> 0")
+def timestamps_text(spark, sf_dir):
+    """Times as text, but for those on a whole second, whose form has no fraction."""
+    from quarrymill.functions import scan as S
+
+    rows = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).where("unix_micros(ts) % 1000000 <> 0")
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").cast("timestamp")
+    return rows.select("event_id", S.iso(F.col("ts")).alias("iso"), S.stamp(F.col("ts")).alias("stamp"), S.elapsed(start, F.col("ts")).alias("seconds"))
+
+
+@query("SELECT event_id, user_id, lang, source FROM events LEFT JOIN documents ON user_id = doc_id")
+def metadata_lookup(spark, sf_dir):
+    from quarrymill.operators.tables import details
+
+    ids = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("doc_id"))
+    return details(ids, table(spark, sf_dir, "documents"), "doc_id", "lang", "source").withColumnRenamed("doc_id", "user_id")

@@ -82,6 +82,46 @@ def parsed_documents(files: DataFrame, parsers: dict[str, Callable[[bytes], list
     return files.select("path", "content").mapInPandas(run, "path string, page long, text string, error string")
 
 
+def extracted_figures(files: DataFrame, extract: Callable[[bytes], list[tuple[int, int, int, bytes]]]) -> DataFrame:
+    """(path, page, idx, width, height, image) of files(path, content): extract gives (page, width, height, image) of each picture, in order.
+
+    A file that fails has no pictures. Sizes are filtered and figures numbered by figures.numbered_figures.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for path, content in zip(frame["path"], frame["content"], strict=True):
+                try:
+                    out += [(path, page, i, w, h, image) for i, (page, w, h, image) in enumerate(extract(bytes(content)))]
+                except Exception:  # noqa: BLE001, S112 - no pictures of this file
+                    continue
+            yield pd.DataFrame(out, columns=["path", "page", "idx", "width", "height", "image"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, page long, idx long, width long, height long, image binary")
+
+
+def compared_figures(pairs: DataFrame, question: str, make_call: Callable[[], Callable[[str], str]], **kw) -> DataFrame:
+    """pairs with a model's verdict, confidence, reasoning and the level that follows; a failed call is uncertain (null level) with its error."""
+    from quarrymill.functions import jsonx as J
+    from quarrymill.operators.tables import model_verdict
+
+    found = answered(pairs, question, make_call, **kw)
+    verdict, confidence, reasoning = J.verdict(F.col("answer"))
+    said = found.withColumns({"verdict": verdict, "confidence": confidence, "reasoning": reasoning})
+    said = said.withColumns({c: F.when(F.col("answer").isNotNull(), F.col(c)) for c in ("verdict", "confidence", "reasoning")})
+    return said.withColumn("level", model_verdict(F.col("verdict"), F.col("confidence"))).drop("answer")
+
+
+def described_posters(requests: DataFrame, column: str, make_call: Callable[[], Callable[[str], str]], **kw) -> DataFrame:
+    """requests with content, layout and error: a model's answer in two parts. A failed call has neither."""
+    from quarrymill.functions import jsonx as J
+
+    found = answered(requests, column, make_call, **kw)
+    content, layout = J.split_response(F.col("answer"))
+    return found.withColumns({"content": content, "layout": F.when(F.col("answer").isNotNull(), layout)}).drop("answer")
+
+
 def read_elements(elements: DataFrame, label: str, make_read: Callable[[str], Callable[[list[bytes]], list[str]]], batch: int = 8) -> DataFrame:
     """elements(label, crop, ...) with text: those of one label go together to make_read(label), in batches."""
     fields = [f for f in elements.schema.names if f != "crop"]

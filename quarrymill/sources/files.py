@@ -223,6 +223,28 @@ def write_records(rows: DataFrame, path: str, key: str, column: str, suffix: str
     rows.select(F.col(key).cast("string"), F.col(column).cast("string")).foreachPartition(run)
 
 
+def copy_matches(matches: DataFrame, path: str) -> None:
+    """Copy both pictures of each match(verdict, number, poster_path, paper_path, reasoning) to same, similar or uncertain, by its number there."""
+
+    def run(part) -> None:
+        from pyarrow import fs
+
+        found, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        for r in part:
+            folder = f"{root}/{r['verdict'] if r['verdict'] in ('same', 'similar') else 'uncertain'}"
+            found.create_dir(folder, recursive=True)
+            for side, source in (("poster", r["poster_path"]), ("paper", r["paper_path"])):
+                where, name = fs.FileSystem.from_uri(source if "://" in source or source.startswith("file:") else f"file://{source}")
+                ext = name[name.rfind(".") :] if "." in name.rsplit("/", 1)[-1] else ""
+                with where.open_input_stream(name) as a, found.open_output_stream(f"{folder}/match_{r['number']:02d}_{side}{ext}") as b:
+                    b.write(a.read())
+            if r["reasoning"] is not None:
+                with found.open_output_stream(f"{folder}/match_{r['number']:02d}_reasoning.txt") as f:
+                    f.write(r["reasoning"].encode())
+
+    matches.select("verdict", "number", "poster_path", "paper_path", "reasoning").foreachPartition(run)
+
+
 def write_checkpoint(spark: SparkSession, path: str, stage: str, completed: list[str], failed: list[str]) -> None:
     row = spark.createDataFrame([(stage, sorted(set(completed)), sorted(set(failed)))], "stage string, completed_ids array<string>, failed_ids array<string>")
     row.withColumn("timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).coalesce(1).write.mode("overwrite").json(path)

@@ -11,7 +11,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from quarrymill.functions import images, scan
+from quarrymill.functions import images, jsonx, scan
 from quarrymill.operators import assemble, evaluate, prepare, tables, track
 from quarrymill.sources import connectors, files
 from quarrymill.streaming import ready
@@ -272,3 +272,71 @@ def test_streams(spark, tmp_path):
     for _ in range(2):
         ready.follow_tracker(ready.file_stream(spark, str(tmp_path / "u"), "paper_id string, stage string, success boolean, ts int"), str(tmp_path / "log"), str(tmp_path / "cp2"))
     assert spark.read.parquet(str(tmp_path / "log")).count() == 1
+
+
+def test_python_json(spark):
+    records = [{"a": [1, None, 2.5], "b": {"é": "中\n", "c": []}}, {}, [1, "x"]]
+    rows = spark.createDataFrame([(i, json.dumps(r, ensure_ascii=False, separators=(",", ":"))) for i, r in enumerate(records)] + [(9, None)], "i int, t string")
+    for indent in (None, 2):
+        got = {r["i"]: r["j"] for r in rows.select("i", jsonx.python_json(indent)("t").alias("j")).collect()}
+        assert got == {i: json.dumps(r, indent=indent) for i, r in enumerate(records)} | {9: None}
+
+
+def test_strip_unicode(spark):
+    blanks = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    texts = ["".join(blanks) + "a b" + "".join(reversed(blanks)), "\u200bx", "", " ", "x"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(scan.strip_unicode(F.col("t"))).collect()]
+    assert got == [t.strip() for t in texts]
+
+
+def test_layout_json_order(spark):
+    rows = spark.createDataFrame([("p", "x.png", '{"poster": {"orientation": "portrait"}, "sections": [{"id": 1}]}'), ("q", None, "{}")], "id string, path string, layout string")
+    out = [json.loads(r[0]) for r in rows.select(jsonx.layout_json(F.col("id"), F.col("path"), F.col("layout"))).collect()]
+    assert list(out[0])[:3] == ["paper_id", "poster_path", "poster"] and out[0]["poster"] == {"orientation": "portrait", "aspect_ratio": "16:9", "background": "#FFFFFF"}
+    assert out[0]["sections"] == [{"id": 1}] and out[1]["figures"] == [] and out[1]["header"] == {} and out[1]["reading_order"] == "columns-left-to-right"
+
+
+def test_json_is_whole(spark):
+    texts = ['{"a":1}', '{"a":1} x', '{"a":1} {"b":2}', "5", "1,2", "", " [1] ", '"s"', '{"a":', "5] junk", None]
+    got = [r[0] is not None for r in spark.createDataFrame([(t,) for t in texts], "t string").select(jsonx.json_or_null(F.col("t"))).collect()]
+    assert got == [True, False, False, True, False, False, True, True, False, False, False]
+
+
+def test_figures_and_posters(spark, tmp_path):
+    docs = spark.createDataFrame([("d", bytearray(b"ok")), ("e", bytearray(b"!"))], "path string, content binary")
+
+    def extract(content):
+        if content == b"!":
+            raise ValueError
+        return [(0, 200, 50, b"a"), (0, 120, 120, b"b"), (1, 300, 300, b"c")]
+
+    from quarrymill.operators import figures
+
+    found = figures.numbered_figures(connectors.extracted_figures(docs, extract), "path", "page", "idx")
+    assert {r["figure_id"]: bytes(r["image"]) for r in found.collect()} == {"d_fig_1": b"b", "d_fig_2": b"c"}
+    for name in ("a.png", "b.jpg"):
+        (tmp_path / name).write_bytes(name.encode())
+    rows = [("same", 1, f"{tmp_path}/a.png", f"{tmp_path}/b.jpg", "why"), ("odd", 1, f"{tmp_path}/b.jpg", f"{tmp_path}/a.png", None)]
+    files.copy_matches(spark.createDataFrame(rows, "verdict string, number int, poster_path string, paper_path string, reasoning string"), str(tmp_path / "out"))
+    assert sorted(str(p.relative_to(tmp_path / "out")) for p in (tmp_path / "out").rglob("*.*")) == ["same/match_01_paper.jpg", "same/match_01_poster.png", "same/match_01_reasoning.txt", "uncertain/match_01_paper.png", "uncertain/match_01_poster.jpg"]
+
+    def make():
+        def call(q):
+            if q == "boom":
+                raise connectors.CallError(400)
+            return {"p": '---CONTENT---\nhi\n---LAYOUT---\n{"sections": []}', "v": '{"verdict": "same", "confidence": 0.9}'}[q]
+
+        return call
+
+    posters = {r["q"]: (r["content"], r["layout"], r["error"] is None) for r in connectors.described_posters(spark.createDataFrame([("p",), ("boom",)], "q string"), "q", make).collect()}
+    assert posters == {"p": ("hi", '{"sections": []}', True), "boom": (None, None, False)}
+    pairs = {r["q"]: (r["verdict"], r["level"]) for r in connectors.compared_figures(spark.createDataFrame([("v",), ("boom",)], "q string"), "q", make).collect()}
+    assert pairs == {"v": ("same", "high"), "boom": (None, None)}
+    assert spark.createDataFrame([("x",)], "t string").select(scan.poster_markdown(F.col("t"))).first()[0] == "# Poster Content\n\nx"
+
+
+def test_orders_and_literals(spark):
+    rows = spark.range(50)
+    assert sorted(r[0] for r in tables.shuffled(rows).collect()) == list(range(50)) and tables.shuffled(rows, 1).collect() == tables.shuffled(rows, 1).collect()
+    papers = evaluate.samples(evaluate.literal_samples(spark), "id", "content").orderBy("sample_id").collect()
+    assert [r["title"] for r in papers] == [p[1] for p in evaluate.LITERAL_PAPERS] and papers[0]["abstract"].startswith("We count words.")
