@@ -180,4 +180,4 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: in
 def deduplicated(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """docs without those that have a component of an earlier document; its columns are unchanged."""
     drop = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__near_id")).distinct()
-    return docs.join(drop, F.col(f"`{id_col}`") == F.col("__near_id"), "left_anti")
+    return docs.join(drop, docs[f"`{id_col}`"] == drop["__near_id"], "left_anti")

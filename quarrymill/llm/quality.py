@@ -272,4 +272,4 @@ def score(docs: DataFrame, model: CoTrained | None, id_col="doc_id", text_col="t
 def filtered(docs: DataFrame, labels: DataFrame, id_col="doc_id", **kw) -> DataFrame:
     """docs without those that the classifier rejects; its columns are unchanged. A rejected row's id goes with all its rows."""
     drop = score(docs, train(docs, labels, id_col=id_col, **kw), id_col=id_col, **{k: v for k, v in kw.items() if k.endswith("_col") and k != "label_col"}).where("NOT keep").select(F.col("doc_id").alias("__q_id")).distinct()
-    return docs.join(drop, F.col(f"`{id_col}`") == F.col("__q_id"), "left_anti")
+    return docs.join(drop, docs[f"`{id_col}`"] == drop["__q_id"], "left_anti")

@@ -182,3 +182,18 @@ def test_simhash_deduplicated(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     want = {r["doc_id"] for r in simhash.near_duplicates(docs).collect() if r["doc_id"] == r["component_id"]}
     assert {r["doc_id"] for r in simhash.deduplicated(docs).collect()} == want
+
+
+def test_stages_keep_any_columns(spark, small):
+    """Further columns with clashing and dotted names go through all stages; null ids, long texts and repeated rows too."""
+    rows = [(None, "a b c\nd e f", "en", "s", 3), (1, None, None, None, None), (1, None, None, None, None), (2, "x y z\n" * 3, "en", "s", 9), (3, " ".join(f"w{i}" for i in range(60_000)), "de", "t", 9), (4, "", "en", "s", 0)]
+    docs = spark.createDataFrame([(*r, k, k, k, k) for k, r in enumerate(rows)], DOCS + ", `a.b` int, __near_id int, __q_id int, runs int")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, small)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert all(r["a.b"] == r["__near_id"] == r["__q_id"] == r["runs"] for r in got)
+    assert corpus_pipeline.line_stage(spark, docs, small).where("doc_id = 3").first()["text"] == rows[4][1]
+    assert pieces.decode(corpus_pipeline.token_stage(spark, docs, small)).where("doc_id = 3").first()["text"] == rows[4][1]
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), small).count() == 0
