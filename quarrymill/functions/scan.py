@@ -21,19 +21,32 @@ MAX_BASE64 = 5 * 1024 * 1024
 ABSTRACT_FORM = r"(?is)(?:^|\n)(?:abstract|summary)[:\s]*\n(.+?)(?:\n(?:#{1,2}\s|\d+\.?\s*introduction)|\n\n\n)"
 
 
+def _let(value: Column, then) -> Column:
+    """then(value) with value computed once: inside a lambda a column would be computed anew for every item."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _opens(line: Column) -> Column:
+    return F.contains(F.lower(line), F.lit("abstract")) & (F.length(line) < 50)
+
+
+def _stops(line: Column) -> Column:
+    return ~_opens(line) & F.lower(line).rlike(r"\A(?:#|introduction|1 |1\.)")
+
+
 def title_and_abstract(content: Column) -> tuple[Column, Column]:
     """By a scan of the lines: the first of the first 20 that says something; what follows a short abstract line up to a heading."""
-    lines = F.split(content, "\n", -1)
-    bare = F.transform(lines, stripped)
-    first = F.element_at(F.filter(F.slice(bare, 1, TITLE_LINES), lambda x: (x != "") & ~F.startswith(F.lower(x), F.lit("abstract"))), 1)
+    head = F.transform(F.slice(F.split(content, "\n", TITLE_LINES + 1), 1, TITLE_LINES), stripped)
+    first = F.element_at(F.filter(head, lambda x: (x != "") & ~F.startswith(F.lower(x), F.lit("abstract"))), 1)
     title = F.when(F.startswith(first, F.lit("#")), stripped(F.regexp_replace(first, r"\A#+", ""))).otherwise(first)
-    opens = lambda x: F.contains(F.lower(x), F.lit("abstract")) & (F.length(x) < 50)
-    stops = lambda x: ~opens(x) & F.lower(x).rlike(r"\A(?:#|introduction|1 |1\.)")
-    at = F.transform(bare, lambda x, i: F.when(opens(x), i))
-    start = F.array_min(at)
-    end = F.array_min(F.transform(bare, lambda x, i: F.when((i > start) & stops(x), i)))
-    body = F.filter(lines, lambda x, i: (i > start) & (i < F.coalesce(end, F.size(lines))) & ~opens(stripped(x)))
-    abstract = F.left(stripped(F.array_join(body, " ")), F.lit(1000))
+    lines = F.split(content, "\n", -1)
+    kinds = F.transform(lines, lambda x: _let(stripped(x), lambda t: F.when(_opens(t), "o").when(_stops(t), "s").otherwise("-")))
+    body = lambda k, start, end: F.filter(lines, lambda x, i: (i > start) & (i < end) & (F.get(k, i) != "o"))
+    # Positions count from 0; without an opening line there is no body, without a stop it goes to the end.
+    opened = lambda k: F.array_position(k, "o") - 1
+    stop = lambda k, start: F.coalesce(F.array_min(F.transform(k, lambda c, i: F.when((i > start) & (c == "s"), i))), F.size(k))
+    whole = _let(kinds, lambda k: _let(opened(k), lambda at: _let(stop(k, at), lambda end: F.when(at >= 0, F.array_join(body(k, at, end), " ")))))
+    abstract = F.left(stripped(whole), F.lit(1000))
     none = lambda c: F.nullif(c, F.lit(""))
     return F.coalesce(none(title), F.lit(NO_TITLE)), F.coalesce(none(abstract), F.left(content, F.lit(500)))
 
