@@ -39,11 +39,11 @@ def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Windows of 20 words, the first place of each, the words that later ones cover.
 OP2_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-p AS (SELECT doc_id, unnest(range(1, greatest(len(words) - 18, 1))) AS i, words FROM w),
-k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(words[i : i + 19], ' ') ORDER BY doc_id, i) > 1 AS later FROM p),
+t AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+p AS (SELECT doc_id, i, string_agg(word, ' ') OVER q AS key, count(*) OVER q AS n FROM t WINDOW q AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5(key) ORDER BY doc_id, i) > 1 AS later FROM p WHERE n = 20),
 g AS (SELECT doc_id, list(i) AS later FROM k WHERE later GROUP BY 1),
 c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM (SELECT doc_id, unnest(later) AS s FROM g)),
-t AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
 r AS (SELECT t.doc_id, count(c.i) AS n_removed, string_agg(word, ' ' ORDER BY t.i) FILTER (c.i IS NULL) AS kept FROM t LEFT JOIN c USING (doc_id, i) GROUP BY 1)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN r USING (doc_id)
 """
