@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import balltree, chat, lines, media, mixing, pieces, quality, secrets, simhash, substrings
+from quarrymill.llm import balltree, chat, infill, lines, media, mixing, pieces, quality, repair, rules, secrets, simhash, substrings
 from quarrymill.llm.common import table
 
 
@@ -121,6 +121,115 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each conversation of the table, also where the damage leaves none of its rows."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.reports(repair.repair(repair.damaged(turns))).withColumnRenamed("conv_id", "r_conv")
+    out = turns.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("r_conv")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+# A state of the search is its cost in six digits and its audit, so that the least string is the least (cost, audit); ~ is a state that can't be reached.
+_ADD = "CASE WHEN {0} = '~' THEN '~' ELSE printf('%06d', {0}[1:6]::INT + {1}) || {0}[7:] || '{2}' END".format
+
+
+def _sql_kept(state: str, initial: str) -> str:
+    return f"CASE WHEN r.must OR r.initial <> '{initial}' THEN '~' ELSE {_ADD(state, 'r.more', 'K')} END"
+
+
+def _sql_reroled(state: str) -> str:
+    return f"CASE WHEN r.must THEN '~' ELSE {_ADD(state, '3 + r.more', 'R')} END"
+
+
+_USERS = ", ".join(f"{_sql_kept(s, 'u')}, {_sql_reroled(s)}" for s in ("s0", "s1", "s3"))
+
+#: The damage by CRC-32 bit by bit; the search row by row; the audit read back letter by letter.
+OP11_SQL = rf"""
+WITH RECURSIVE src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+crc AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(k, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 20 AS kind FROM src),
+hurt AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS again FROM crc WHERE kind <> 0),
+rows_ AS (SELECT *, i > min(i) OVER (PARTITION BY conv_id, role, text) AS again_ FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(text)) AS i FROM hurt)),
+r AS (SELECT conv_id, i, turn, role, text, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, NOT blank AND again_ AS duplicate, NOT blank AND NOT duplicate AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS truncated,
+  blank OR duplicate AS must, CASE WHEN truncated THEN 3 ELSE 0 END AS more, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM rows_),
+convs AS (SELECT DISTINCT conv_id FROM conversations),
+best(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT conv_id, 0::BIGINT, '000000', '~', '000003I', '000006II' FROM convs
+  UNION ALL
+  SELECT conv_id, i, d0, d1, e2, least(d3, {_ADD("e2", 3, "I")}) FROM (
+    SELECT *, least(d2, {_ADD("d0", 3, "I")}, {_ADD("d1", 3, "I")}, {_ADD("d3", 3, "I")}) AS e2 FROM (
+      SELECT b.conv_id, r.i, {_ADD("s0", 4, "D")} AS d0, least({_ADD("s1", 4, "D")}, {_sql_kept("s0", "s")}) AS d1, least({_ADD("s2", 4, "D")}, {_USERS}) AS d2, least({_ADD("s3", 4, "D")}, {_sql_kept("s2", "a")}, {_sql_reroled("s2")}) AS d3
+      FROM best AS b JOIN r ON b.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = b.i + 1))),
+won AS (SELECT conv_id, least(s0, s3)[1:6]::BIGINT AS cost, least(s0, s3)[7:] AS audit FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS k FROM best) WHERE k = 1),
+read(conv_id, audit, k, i, last, said) AS (
+  SELECT conv_id, audit, 0, 0::BIGINT, '', NULL::VARCHAR FROM won
+  UNION ALL
+  SELECT conv_id, audit, k, i, CASE WHEN said IS NULL THEN last ELSE left(said, 1) END, said FROM (
+    SELECT x.conv_id, audit, k, x.i, last, CASE letter WHEN 'D' THEN NULL WHEN 'I' THEN wanted || ':' WHEN 'R' THEN wanted || ':' || r.text ELSE r.role || ':' || r.text END AS said
+    FROM (SELECT conv_id, audit, k + 1 AS k, audit[k + 1] AS letter, i + CASE audit[k + 1] WHEN 'I' THEN 0 ELSE 1 END AS i, last, CASE last WHEN 'u' THEN 'assistant' ELSE 'user' END AS wanted FROM read WHERE k < length(audit)) AS x
+    LEFT JOIN r ON x.conv_id IS NOT DISTINCT FROM r.conv_id AND x.i = r.i)),
+texts AS (SELECT conv_id, sha256(coalesce(string_agg(said, chr(10) ORDER BY k), '')) AS repaired_sha256 FROM read GROUP BY 1),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY 1)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, cost, audit, repaired_sha256
+FROM convs AS c JOIN won ON c.conv_id IS NOT DISTINCT FROM won.conv_id JOIN texts ON c.conv_id IS NOT DISTINCT FROM texts.conv_id LEFT JOIN sums ON c.conv_id IS NOT DISTINCT FROM sums.conv_id
+"""
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rules.decided(rules.ledger(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+
+
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.ablations(rules.patterns(rules.ledger(table(spark, sf_dir, "documents"))))
+
+
+_BIT = {r.name: 1 << r.bit for r in rules.RULES}
+_POLICY = rules.POLICIES[rules.CURRENT]
+
+#: The measures of every document, its failure bits, and the verdict of the current policy.
+_LEDGER = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+t AS (SELECT row, unnest(words) AS w, unnest(range(len(words))) AS i FROM d),
+g AS (SELECT row, i, w || ' ' || lead(w, 1) OVER q || ' ' || lead(w, 2) OVER q AS tri FROM t WINDOW q AS (PARTITION BY row ORDER BY i)),
+c AS (SELECT row, i, count(*) OVER (PARTITION BY row, tri) > 1 AS twice FROM g WHERE tri IS NOT NULL),
+m AS (SELECT t.row, count(*) FILTER (c0.twice OR c1.twice OR c2.twice) AS n_repeat_words FROM t LEFT JOIN c AS c0 ON c0.row = t.row AND c0.i = t.i LEFT JOIN c AS c1 ON c1.row = t.row AND c1.i = t.i - 1 LEFT JOIN c AS c2 ON c2.row = t.row AND c2.i = t.i - 2 GROUP BY 1),
+x AS (SELECT row, doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines, len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+  len(list_filter(words, lambda w: regexp_matches(w, '[A-Za-z\x{80}-\x{10FFFF}]')))::BIGINT AS n_letter_words, length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals,
+  len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*•◦‣]')))::BIGINT AS n_bullets, coalesce(list_max(list_transform(words, lambda w: octet_length(encode(w)))), 0)::BIGINT AS longest_word FROM d),
+l AS (SELECT x.*, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM x LEFT JOIN m USING (row)),
+b AS (SELECT *, (""" + " + ".join(f"CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END" for r in rules.RULES) + """)::BIGINT AS fail_bits FROM l)
+"""
+
+
+def _sql_keeps(without: int = 0) -> str:
+    return f"(fail_bits & {_POLICY.hard & ~without} = 0 AND bit_count(fail_bits & {_POLICY.soft & ~without}) <= {_POLICY.most})"
+
+
+OP12_SQL = _LEDGER + f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT base_failed AND {_sql_keeps()} AS kept, fail_bits FROM b"
+RULE_ABLATIONS_SQL = _LEDGER + " UNION ALL ".join(f"SELECT '{name}' AS rule, count(*) FILTER (fail_bits & {bit} <> 0) AS n_failed, count(*) FILTER (NOT {_sql_keeps()} AND {_sql_keeps(bit)}) AS n_alone, count(*) FILTER ({_sql_keeps()}) AS n_kept FROM b" for name, bit in _BIT.items())
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infill.transformed(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c, 256)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+#: The restored text is the text.
+OP13_SQL = r"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+v AS (SELECT *, len(units)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+  CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(units[1:least(a, b)], '') AS prefix, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle, array_to_string(units[greatest(a, b) + 1:], '') AS suffix FROM v)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p
+"""
+
+
 # What SQL can say of the queries above, as queries of their own; the others are held against brute force in tests.
 
 
@@ -173,5 +282,5 @@ def sql9_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL9 = "SELECT doc_id, sha256(text) AS decoded_sha256 FROM documents"
 
 _PLAIN = (sql4_mix_targets, sql5_secret_counts, sql7_chat_turns, sql8_payloads, sql9_decoded)
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_recompression, op3_quality, op4_source_mixing, op5_secret_scan, op6_ball_tree, op7_chat_format, op8_media_columns, op9_sentencepiece, op10_simhash, *_PLAIN)}
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_recompression": OP2_SQL, "op6_ball_tree": OP6_SQL} | dict(zip([f.__name__ for f in _PLAIN], (SQL4, SQL5, OP7_TURNS_SQL, SQL8, SQL9), strict=True))
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_recompression, op3_quality, op4_source_mixing, op5_secret_scan, op6_ball_tree, op7_chat_format, op8_media_columns, op9_sentencepiece, op10_simhash, op11_conversation_repair, op12_quality_rules, rule_ablations, op13_fill_in_middle, *_PLAIN)}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_recompression": OP2_SQL, "op6_ball_tree": OP6_SQL, "op11_conversation_repair": OP11_SQL, "op12_quality_rules": OP12_SQL, "rule_ablations": RULE_ABLATIONS_SQL, "op13_fill_in_middle": OP13_SQL} | dict(zip([f.__name__ for f in _PLAIN], (SQL4, SQL5, OP7_TURNS_SQL, SQL8, SQL9), strict=True))
