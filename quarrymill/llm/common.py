@@ -6,6 +6,7 @@ import sys
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 import numpy as np
@@ -22,7 +23,8 @@ _UNSET = "file:///tmp/checkpoints/quarrymill"
 #: A side of at most so many rows is broadcast; beyond it the other side's keys are salted SALTS ways.
 BROADCAST_ROWS = 50_000
 SALTS = 16
-_SCOPES: list[list[str]] = []
+#: Paths of the scopes that are open in this thread, innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,8 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if scopes := _SCOPES.get():
+        scopes[-1].append(path)
     return path
 
 
@@ -51,12 +53,14 @@ def delete(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def scratch(spark: SparkSession):
-    """What is written for what runs inside is deleted at its end: a result must have been written elsewhere by then."""
-    _SCOPES.append([])
+    """What this thread writes for what runs inside is deleted at its end: a result must have been written elsewhere by then."""
+    own: list[str] = []
+    outer = _SCOPES.set((*_SCOPES.get(), own))
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        _SCOPES.reset(outer)
+        for path in own:
             delete(spark, path)
 
 

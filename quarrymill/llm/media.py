@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, pieces, scratch_path, written
+from quarrymill.llm.common import as_bytes, looked_up, pieces, scratch_path, written
 
 WIDTH = 576
 #: Lines that are compressed at once; digests that a task remembers (beyond it a payload may be stored again, and one place is used).
@@ -193,5 +193,6 @@ def media_columns(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFram
     """Store every text and read all back: one row per row of docs."""
     index = store(docs, id_col, text_col)
     at = written(places(index), "media-places")
-    filled = at.join(read_headers(at), "digest").join(read_payloads(at), "digest")
-    return index.select("doc_id", "n_bytes", "digest").join(filled, "digest")
+    filled = written(at.join(read_headers(at), "digest").join(read_payloads(at), "digest").withColumnRenamed("digest", "f_digest"), "media-facts")
+    # One text may be that of a third of all rows; a row of facts has some hundred bytes.
+    return looked_up(index.select("doc_id", "n_bytes", "digest"), filled, {"digest": "f_digest"}, "doc_id", most=10_000).drop("f_digest")

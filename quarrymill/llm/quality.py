@@ -9,14 +9,14 @@ At first both are fitted on labelled rows, at most MAX_LABELLED of them in hash
 documents; a document that one view is confident of teaches the other with that label, as summed feature counts, whose
 size is the model's. In the end the calibrated log odds of both views are combined (the prior is counted once), and all
 documents are scored. Where metadata says nothing about quality, its curve is flat: it then teaches nothing and the
-combined odds are the content's.
+combined odds are the content's. Where neither view says anything, nothing was learnt, and all documents stay.
 
 Feature counts are summed in Spark, by class and fold; of the labelled rows only two scores each reach the driver.
 A pass reads a text's trigrams as one array and looks their weights up, which costs less than reading written features.
 
 Defined results: null text is empty; null metadata is a value of its own; null labels and labels of unknown
-documents are ignored; without labels of both classes outside of each fold every document gets 0.5 and is kept; a document's
-score depends on its row only, so repeated rows agree; an empty table gives an empty result.
+documents are ignored; without labels of both classes outside of each fold, or with labels that neither view can tell, every
+document gets 0.5 and is kept; a document's score depends on its row only, so repeated rows agree; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -224,7 +224,7 @@ def _calibrated(model: CoTrained, own: tuple[np.ndarray, np.ndarray], rows: Data
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col="quality", rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED, confident: float = CONFIDENT, id_col="doc_id", text_col="text", source_col="source", lang_col="lang", length_col="n_chars") -> CoTrained | None:
-    """labels: (doc_id, label_col 0 or 1). None where a fold's others lack a class."""
+    """labels: (doc_id, label_col 0 or 1). None where there is nothing to learn: a fold's others lack a class, or both curves are flat."""
     picked = _picked(docs, id_col, text_col, source_col, lang_col, length_col)
     rows = _labelled(picked, labels.select(F.col("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label")), max_labelled)
     sizes = {(r["label"], r["fold"]): r["count"] for r in rows.groupBy("label", "fold").count().collect()}
@@ -243,7 +243,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col="quality", rounds: int =
         def classes(part: pa.RecordBatch):
             lc, lm, _ = score(part)
             new = np.array([i not in known for i in part.column("doc_id").to_pylist()], bool)
-            return tuple(np.where(new & (np.abs(x) > edge), (x > 0).astype(int), -1) for x in (lm, lc))
+            # A flat curve repeats the share of good labels, however far out: it teaches nothing.
+            return tuple(np.where(new & (view.b != 0) & (np.abs(x) > edge), (x > 0).astype(int), -1) for view, x in ((model.meta, lm), (model.content, lc)))
 
         return classes
 
@@ -251,7 +252,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col="quality", rounds: int =
         for_content, for_meta = _summed(picked, taught)
         model.content.counts, model.meta.counts = own[0].sum(axis=0) + for_content[0], own[1].sum(axis=0) + for_meta[0]
         _calibrated(model, own, rows)
-    return model
+    return model if model.content.b or model.meta.b else None
 
 
 def score(docs: DataFrame, model: CoTrained | None, id_col="doc_id", text_col="text", source_col="source", lang_col="lang", length_col="n_chars") -> DataFrame:

@@ -106,8 +106,12 @@ def _query(parsed) -> Query:
 
 
 def trigram_query(pattern: str) -> Query:
-    """The Boolean trigram query that every text with a match of pattern satisfies."""
-    return _query(_sre.parse(pattern))
+    """The Boolean trigram query that every text with a match of pattern satisfies.
+
+    Where the pattern as a whole ignores the case of letters beyond ASCII (s also matches U+017F), no trigram follows.
+    """
+    parsed = _sre.parse(pattern)
+    return True if parsed.state.flags & re.IGNORECASE and not parsed.state.flags & re.ASCII else _query(parsed)
 
 
 def trigrams(query: Query) -> set[bytes]:

@@ -135,13 +135,15 @@ def held_to_mix(taken, docs):
 
 @pytest.fixture(scope="module")
 def small(spark, near_rows, tmp_path_factory):
-    """Planted near copies, passages, nulls, a hot source and a null source, with labels of a third."""
+    """Planted near copies, passages, junk, nulls, a hot source and a null source, with labels of a third: junk is bad."""
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [*near_rows, *((1000 + i, f"head {i}\n{passage}\ntail {i} " + " ".join(f"z{i}x{k}" for k in range(30))) for i in range(20))]
+    rng = random.Random(9)
+    rows += [(2000 + i, " ".join(f"$$${rng.choice(['BUY', 'NOW', 'WIN', 'FREE'])}!!{rng.randrange(900)}###" for _ in range(60))) for i in range(60)]
     rows = [(i, t, "en", [None, "b", "c", "d", "e"][i % 5] if i % 3 == 0 else "a", len(t or "")) for i, t in rows]
     folder = str(tmp_path_factory.mktemp("small"))
     spark.createDataFrame(rows, DOCS).write.parquet(f"{folder}/documents.parquet")
-    labels = [(r[0], 1 if r[0] % 2 else 0, 0) for r in rows if r[0] % 3 == 1]
+    labels = [(r[0], int(r[0] < 2000), 0) for r in rows if r[0] % 3 == 1]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder
 
@@ -158,6 +160,8 @@ def test_quality_stage(spark, small):
     scored = quality.score(docs, quality.train(docs, spark.read.parquet(f"{small}/labels.parquet"))).collect()
     drop = {r["doc_id"] for r in scored if r["keep"] is False}
     got = corpus_pipeline.quality_stage(spark, docs, small).collect()
+    # The junk goes, and of the rest only what has next to no text may.
+    assert drop >= set(range(2000, 2060)) and all(len(r["text"] or "") < 50 for r in docs.collect() if r["doc_id"] in drop and r["doc_id"] < 2000)
     assert drop and sorted(map(repr, got)) == sorted(repr(r) for r in docs.collect() if r["doc_id"] not in drop)
 
 

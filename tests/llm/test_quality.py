@@ -68,6 +68,46 @@ def test_held_out(spark):
     assert quality.score(docs, quality.train(docs, labels.limit(0))).where("NOT keep").count() == 0
 
 
+@pytest.mark.parametrize("good", [2, 40, 60, 99])
+def test_labels_without_meaning(spark, good):
+    """Labels by chance teach nothing, whatever their share: no document goes."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = random.Random(good)
+    ids = [r["doc_id"] for r in docs.select("doc_id").collect()]
+    labels = spark.createDataFrame([(i, int(rng.random() * 100 < good)) for i in ids], "doc_id long, quality int")
+    assert quality.train(docs, labels) is None
+    assert quality.filtered(docs, labels).count() == len(ids)
+
+
+def test_pseudo_labels_and_curves(corpus):
+    """A round by hand: who is confident, whom that teaches, the counts that follow, and the curves of other folds' models."""
+    docs, labels = corpus
+    first, second = (quality.train(docs, labels, rounds=n, confident=0.8) for n in (0, 1))
+    known, edge = {r["doc_id"] for r in labels.collect()}, np.log(0.8 / 0.2)
+    scored = {r["doc_id"]: r for r in quality.score(docs, first).collect()}
+    content, meta = first.content.counts.copy(), first.meta.counts.copy()
+    taught = 0
+    for r in docs.collect():
+        if r["doc_id"] in known:
+            continue
+        c, m = scored[r["doc_id"]]["content_logit"], scored[r["doc_id"]]["metadata_logit"]
+        if abs(m) > edge:
+            np.add.at(content[int(m > 0)], quality.trigram_codes(r["text"].encode()), 1)
+            taught += 1
+        if abs(c) > edge:
+            np.add.at(meta[int(c > 0)], quality.meta_features(r["source"], r["lang"], r["n_chars"]), 1)
+    assert taught and (second.content.counts == content).all() and (second.meta.counts == meta).all()
+    # The content's curve, fitted by hand on each labelled row's score without its own fold.
+    rows = quality._labelled(quality._picked(docs, "doc_id", "text", "source", "lang", "n_chars"), labels.withColumnRenamed("quality", "label"), 8000).collect()
+    own = np.zeros((quality.FOLDS, 2, quality.CONTENT_DIM), np.int64)
+    for r in rows:
+        np.add.at(own[r["fold"], r["label"]], quality.trigram_codes(r["text"].encode()), 1)
+    raw = sorted((quality.View(quality.CONTENT_DIM, content - own[r["fold"]]).weights()[quality.trigram_codes(r["text"].encode())].mean(), r["label"]) for r in rows)
+    view = quality.View(quality.CONTENT_DIM)
+    view.calibrate(np.array([x for x, _ in raw]), np.array([float(y) for _, y in raw]))
+    assert (second.content.a, second.content.b) == (pytest.approx(view.a, rel=1e-6), pytest.approx(view.b, rel=1e-6))
+
+
 def test_long_text_in_slices(spark, corpus, monkeypatch):
     docs, labels = corpus
     model = quality.train(docs, labels, rounds=0)
