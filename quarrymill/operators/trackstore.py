@@ -56,6 +56,12 @@ class TrackerStore:
         self.spark, self.key, self.stages, self.fields, self.order, self.most = spark, key, tuple(stages), tuple(fields), tuple(order), most_deltas
         self.tables, self.deltas = ArtifactStore(spark, path, key, buckets), f"{path.rstrip('/')}/deltas"
 
+    def clear(self) -> None:
+        """Forget everything."""
+        for name in self.tables.names():
+            self.tables.drop(name)
+        shared.delete(self.spark, self.deltas)
+
     def _snapshots(self) -> list[int]:
         """Of those whose writer has ended."""
         return sorted(int(n.removeprefix("snapshot_")) for n in self.tables.names() if n.startswith("snapshot_") and shared.exists(self.spark, f"{self.tables.folder(n)}/_SUCCESS"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions import text as T
 from quarrymill.operators import tables as O
-from quarrymill.plans import assembly, documents, evaluation, figures, responses, tracking  # noqa: F401 - they register their queries
+from quarrymill.plans import assembly, documents, evaluation, figures, pages, responses, tracking  # noqa: F401 - they register their queries
 from quarrymill.plans.registry import ORACLES, QUERIES, query
 from quarrymill.plans.registry import table as _t
 
