@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarrymill.operators import assemble as A
@@ -12,7 +12,7 @@ from quarrymill.operators import evaluate as E
 from quarrymill.operators import prepare as P
 from quarrymill.operators import tables as O
 from quarrymill.operators import track as K
-from quarrymill.sources import files
+from quarrymill.sources import files, shared
 
 
 def build_corpus(manifest: DataFrame, papers: DataFrame, posters: DataFrame, mode: str = "simple", limit: int | None = None, start: int = 0, order: str = "paper_id") -> tuple[DataFrame, DataFrame]:
@@ -42,33 +42,48 @@ def export_corpus(examples: DataFrame, path: str, fmt: str = "jsonl") -> int:
     return files.export(A.export_rows(examples.where("success")), path, fmt)
 
 
+def build_and_export(manifest: DataFrame, papers: DataFrame, posters: DataFrame, path: str, fmt: str = "jsonl", **kw) -> dict:
+    """Build a corpus and export its successful examples in one pass; returns the run's statistics, counted on the way."""
+    if fmt not in ("jsonl", "parquet"):
+        raise ValueError("a format of many files: jsonl or parquet")
+    examples, _ = build_corpus(manifest, papers, posters, **kw)
+    seen = Observation()
+    ok = F.coalesce("success", F.lit(False))
+    observed = examples.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("completed"))
+    rows = A.export_rows(observed.where("success"))
+    files.write_jsonl(rows, path) if fmt == "jsonl" else rows.write.parquet(path)
+    found = seen.get
+    return {"total": found["total"], "completed": found["completed"], "failed": found["total"] - found["completed"], "skipped": 0, "cost": round(found["completed"] * A.CALL_COST, 6)}
+
+
 def run_stages(rows: DataFrame, stages: dict[str, Callable[[DataFrame], DataFrame]], path: str, key: str = "paper_id", resume: bool = True) -> DataFrame:
     """Run stages in order, each on the rows whose earlier stages succeeded; returns the tracker.
 
     A stage gives (key, success, error). Its updates are a folder of the log at `path`; with resume, rows that have succeeded
-    in a stage are not run again, and all others are.
+    in a stage are not run again, and all others are. Without it every row is run in every stage, as if there were no log.
     """
     spark = rows.sparkSession
     empty = spark.createDataFrame([], f"{key} string, stage string, success boolean, error string, ts timestamp")
     names = tuple(stages)
 
+    # A run writes to a folder of its own; an earlier run's log is read only where this one resumes it.
+    earlier_runs = shared.names(spark, path)
+    own = f"run-{len(earlier_runs):06d}"
+
     def log() -> DataFrame:
-        try:
-            return spark.read.schema(empty.schema).option("recursiveFileLookup", True).parquet(path)
-        except Exception:  # noqa: BLE001 - no log yet
-            return empty
+        found = [f"{path}/{r}/{n}" for r in ([*earlier_runs, own] if resume else [own]) for n in shared.complete(spark, f"{path}/{r}")]
+        return spark.read.schema(empty.schema).parquet(*found) if found else empty
 
-    todo, begun = rows.withColumn(key, F.col(key).cast("string")), log() if resume else empty
-    number = 0 if begun.isEmpty() else begun.select("ts").distinct().count()
+    todo = rows.withColumn(key, F.col(key).cast("string"))
     for k, name in enumerate(names):
-        state = K.status(log() if k or resume else empty, key, stages=names)
+        state = K.status(log(), key, stages=names)
         done = K.done(state, name).select(F.col(key).alias("__k"))
         ready = todo
         for earlier in names[:k]:
             ready = ready.join(K.done(state, earlier).select(F.col(key).alias("__k")), F.col(key) == F.col("__k"), "left_semi")
         result = stages[name](ready.join(done, F.col(key) == F.col("__k"), "left_anti"))
         updates = result.select(F.col(key).cast("string").alias(key), F.lit(name).alias("stage"), F.col("success"), F.col("error").cast("string").alias("error"), F.current_timestamp().alias("ts"))
-        updates.write.mode("overwrite").parquet(f"{path}/{number + k:06d}-{name}")
+        updates.write.parquet(f"{path}/{own}/{k:06d}-{name}")
     return K.initialized(K.status(log(), key, stages=names), todo, key)
 
 

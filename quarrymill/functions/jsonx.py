@@ -41,6 +41,12 @@ LAYOUT_DEFAULTS = {
 }
 _IN_POSTER = ("orientation", "aspect_ratio", "background")
 _END = "\x1f~end"
+_BLANK = r"[\s\x1c-\x1f\x85\p{Z}]+"
+
+
+def let(value: Column, then) -> Column:
+    """then(value) with value computed once: a column that is used again would be computed anew for each use."""
+    return F.element_at(F.transform(F.array(value), then), 1)
 
 
 def json_or_null(text: Column) -> Column:
@@ -74,9 +80,8 @@ def braces(text: Column) -> Column:
 
 def response_layout(part: Column) -> Column:
     """Fence, then braces; bad braces give the default layout, none an empty object."""
-    inner = fenced(part)
-    cut = braces(inner)
-    return F.coalesce(json_or_null(inner), F.when(cut.isNull(), F.lit("{}")).otherwise(F.coalesce(json_or_null(cut), F.lit(POSTER_LAYOUT))))
+    from_braces = lambda inner: let(braces(inner), lambda cut: F.when(cut.isNull(), F.lit("{}")).otherwise(F.coalesce(json_or_null(cut), F.lit(POSTER_LAYOUT))))
+    return let(part, lambda p: let(fenced(p), lambda inner: F.coalesce(json_or_null(inner), from_braces(inner))))
 
 
 def split_response(text: Column) -> tuple[Column, Column]:
@@ -91,27 +96,27 @@ def split_response(text: Column) -> tuple[Column, Column]:
 def described_layout(text: Column) -> Column:
     """The text, else its fence, else the widest braces, else the default layout."""
     fence = F.nullif(F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)\s*```", 1), F.lit(""))
-    return F.coalesce(json_or_null(stripped(text)), json_or_null(fence), json_or_null(braces(text)), F.lit(DESCRIBED_LAYOUT))
+    tried = [let(c, json_or_null) for c in (stripped(text), fence, braces(text))]
+    return F.coalesce(*tried, F.lit(DESCRIBED_LAYOUT))
 
 
 def verdict(text: Column) -> tuple[Column, Column, Column]:
     """(verdict, confidence, reasoning) of a comparison: the first braces without braces inside, else by words of the text."""
-    found = json_or_null(F.nullif(F.regexp_extract(text, r"\{[^}]+\}", 0), F.lit("")))
-    confidence = F.coalesce(field(found, "$.confidence", "double"), F.when(field(found, "$.confidence").isNull(), 0.5))
-    usable = found.isNotNull() & confidence.isNotNull()
     low = F.lower(text)
     same = F.contains(low, F.lit("same")) & ~F.contains(low, F.lit("different"))
     by_words = F.when(same, "same").when(F.contains(low, F.lit("similar")), "similar").otherwise("different")
-    return (
-        F.when(usable, F.coalesce(field(found, "$.verdict"), F.lit("unknown"))).otherwise(by_words),
-        F.when(usable, confidence).otherwise(0.5),
-        F.when(usable, F.coalesce(field(found, "$.reasoning"), F.lit(""))).otherwise(F.left(text, F.lit(200))),
-    )
+    plain = F.struct(by_words.alias("verdict"), F.lit(0.5).alias("confidence"), F.left(text, F.lit(200)).alias("reasoning"))
+    sure = lambda f: F.coalesce(field(f, "$.confidence", "double"), F.when(field(f, "$.confidence").isNull(), 0.5))
+    told = lambda f, c: F.struct(F.coalesce(field(f, "$.verdict"), F.lit("unknown")).alias("verdict"), c.alias("confidence"), F.coalesce(field(f, "$.reasoning"), F.lit("")).alias("reasoning"))
+    braced = F.nullif(F.regexp_extract(text, r"\{[^}]+\}", 0), F.lit(""))
+    # One struct for all three: what is found is parsed once.
+    said = let(let(braced, json_or_null), lambda f: let(sure(f), lambda c: F.when(f.isNotNull() & c.isNotNull(), told(f, c)).otherwise(plain)))
+    return said["verdict"], said["confidence"], said["reasoning"]
 
 
 def judged(text: Column) -> tuple[Column, Column, Column]:
     """(evaluation JSON or null, error, raw text) of a judge's answer."""
-    found = json_or_null(braces(text))
+    found = let(braces(text), json_or_null)
     return found, F.when(found.isNull(), UNPARSED), F.when(found.isNull(), text)
 
 
@@ -129,8 +134,8 @@ def generated(text: Column) -> Column:
 
 
 def stripped(text: Column) -> Column:
-    """Without white space at both ends."""
-    return F.regexp_replace(text, r"\A\s+|\s+\z", "")
+    """Without white space of any script, and the separators U+001C to U+001F, at both ends."""
+    return F.regexp_replace(text, rf"\A{_BLANK}|{_BLANK}\z", "")
 
 
 def layout_fields(layout: Column) -> dict[str, Column]:

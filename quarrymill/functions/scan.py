@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarrymill.functions.jsonx import stripped
+from quarrymill.functions.jsonx import let, stripped
 
 # Results depend on them.
 INFERENCE_CHARS, INFERENCE_MARK = 20_000, "\n\n[Content truncated...]"
@@ -21,11 +21,6 @@ MAX_BASE64 = 5 * 1024 * 1024
 ABSTRACT_FORM = r"(?is)(?:^|\n)(?:abstract|summary)[:\s]*\n(.+?)(?:\n(?:#{1,2}\s|\d+\.?\s*introduction)|\n\n\n)"
 
 
-def _let(value: Column, then) -> Column:
-    """then(value) with value computed once: inside a lambda a column would be computed anew for every item."""
-    return F.element_at(F.transform(F.array(value), then), 1)
-
-
 def _opens(line: Column) -> Column:
     return F.contains(F.lower(line), F.lit("abstract")) & (F.length(line) < 50)
 
@@ -40,12 +35,12 @@ def title_and_abstract(content: Column) -> tuple[Column, Column]:
     first = F.element_at(F.filter(head, lambda x: (x != "") & ~F.startswith(F.lower(x), F.lit("abstract"))), 1)
     title = F.when(F.startswith(first, F.lit("#")), stripped(F.regexp_replace(first, r"\A#+", ""))).otherwise(first)
     lines = F.split(content, "\n", -1)
-    kinds = F.transform(lines, lambda x: _let(stripped(x), lambda t: F.when(_opens(t), "o").when(_stops(t), "s").otherwise("-")))
+    kinds = F.transform(lines, lambda x: let(stripped(x), lambda t: F.when(_opens(t), "o").when(_stops(t), "s").otherwise("-")))
     body = lambda k, start, end: F.filter(lines, lambda x, i: (i > start) & (i < end) & (F.get(k, i) != "o"))
     # Positions count from 0; without an opening line there is no body, without a stop it goes to the end.
     opened = lambda k: F.array_position(k, "o") - 1
     stop = lambda k, start: F.coalesce(F.array_min(F.transform(k, lambda c, i: F.when((i > start) & (c == "s"), i))), F.size(k))
-    whole = _let(kinds, lambda k: _let(opened(k), lambda at: _let(stop(k, at), lambda end: F.when(at >= 0, F.array_join(body(k, at, end), " ")))))
+    whole = let(kinds, lambda k: let(opened(k), lambda at: let(stop(k, at), lambda end: F.when(at >= 0, F.array_join(body(k, at, end), " ")))))
     abstract = F.left(stripped(whole), F.lit(1000))
     none = lambda c: F.nullif(c, F.lit(""))
     return F.coalesce(none(title), F.lit(NO_TITLE)), F.coalesce(none(abstract), F.left(content, F.lit(500)))
@@ -131,12 +126,6 @@ def backoff_seconds(attempt: int, status: int | None, retry_after: float | None
     return None
 
 
-def strip_unicode(text: Column) -> Column:
-    """Without white space of any script, and the separators U+001C to U+001F, at both ends."""
-    blank = r"[\s\x1c-\x1f\x85\p{Z}]+"
-    return F.regexp_replace(text, rf"\A{blank}|{blank}\z", "")
-
-
 def iso(ts: Column) -> Column:
     """A time as text to microseconds, without a zone; whole seconds have no fraction."""
     whole = F.unix_micros(ts.cast("timestamp")) % 1_000_000 == 0

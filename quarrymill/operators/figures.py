@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quarrymill.functions.jsonx import stripped
+
 # Weights of a pair's scores, the ratio of two distances, sizes below which a picture is dropped.
 PHASH_WEIGHT, SSIM_WEIGHT, FEATURE_WEIGHT = 0.3, 0.3, 0.4
 NEAREST_RATIO = 0.7
@@ -42,7 +44,7 @@ def merged_page(batches: list[DataFrame], page: str) -> DataFrame:
     rows = batches[0]
     for b in batches[1:]:
         rows = rows.unionByName(b)
-    text = F.regexp_replace("text", r"\A\s+|\s+\z", "")
+    text = stripped(F.col("text"))
     parts = F.array_sort(F.collect_list(F.struct(F.coalesce("reading_order", F.lit(0)).alias("o"), text.alias("text"))))
     return rows.groupBy(page).agg(F.array_join(F.transform(parts, lambda p: p["text"]), "\n\n").alias("text"))
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrymill.functions import jsonx as J
 from quarrymill.functions import scan as S
 from quarrymill.operators import track as K
+from quarrymill.sources import shared
 
 #: Columns of a manifest and of a status table; a file's other columns are dropped.
 MANIFEST = ("paper_id", "local_image_path", "local_pdf_path", "title", "abstract", "conference", "year", "topics", "error")
@@ -32,12 +35,11 @@ def read_manifest(spark: SparkSession, folder: str, split: str = "train") -> Dat
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
-    """A tracker's status table with its declared columns; unknown ones are dropped, a missing or unreadable file is an empty table."""
+    """A tracker's status table with its declared columns; unknown ones are dropped, a missing file is an empty table."""
     kinds = {c: kind for kind, names in _STATUS_TYPES.items() for c in names}
-    try:
-        rows = _csv(spark, path)
-    except Exception:  # noqa: BLE001 - no file yet
+    if not shared.exists(spark, path):
         return spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in kinds.items()))
+    rows = _csv(spark, path)
     return rows.select([(F.col(c) if c in rows.columns else F.lit(None)).try_cast(k).alias(c) for c, k in kinds.items()]).where("paper_id IS NOT NULL")
 
 
@@ -46,6 +48,38 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
+def checked_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, refused): objects of a schema, a line each; refused has path, line and reason of every line that is none, so that none vanishes.
+
+    A field of another type refuses its line; blank lines are no rows. Both tables read the files on their own.
+    """
+    kept = "__refused"
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")).where(F.regexp_like("line", F.lit(r"\S")))
+    parsed = lines.withColumn("o", F.from_json("line", f"{schema}, {kept} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": kept}))
+    reason = F.when(J.json_or_null(F.col("line")).isNull(), "no JSON").when(~F.startswith(F.ltrim("line"), F.lit("{")), "no object").otherwise("not of the schema")
+    bad = F.col(f"o.{kept}").isNotNull() | ~F.startswith(F.ltrim("line"), F.lit("{"))
+    return parsed.where(~bad).select("o.*").drop(kept), parsed.where(bad).select("path", "line", reason.alias("reason"))
+
+
+def checked_json_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(records, refused): files of a record each as read_json_files gives them, and path and size of those that are no JSON."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json")
+    refused = _named(files, F.col("value")).where(J.json_or_null(F.col("value")).isNull() | F.col("value").isNull())
+    return read_json_files(spark, path), refused.select("path", F.octet_length("value").cast("long").alias("length"))
+
+
+def checked_status(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, refused): a status table, and paper_id, column and text of each value that its column's type refuses (null in rows)."""
+    kinds = {c: kind for kind, names in _STATUS_TYPES.items() for c in names if kind != "string"}
+    rows = read_status(spark, path)
+    if not shared.exists(spark, path):
+        return rows, spark.createDataFrame([], "paper_id string, column string, value string")
+    raw = _csv(spark, path)
+    wrong = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(k).isNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))) for c, k in kinds.items() if c in raw.columns]
+    found = raw.select("paper_id", F.explode(F.filter(F.array(*wrong), lambda x: x.isNotNull())).alias("r")) if wrong else raw.select("paper_id", F.lit(None).cast("struct<column:string,value:string>").alias("r")).limit(0)
+    return rows, found.select("paper_id", "r.column", "r.value")
+
+
 def read_splits(spark: SparkSession, train: str, validation: str, fmt: str = "mistral") -> dict[str, DataFrame]:
     """The two named splits of instruction rows in a trainer's format, without their other columns."""
     from quarrymill.functions.text import training_rows
@@ -74,10 +108,9 @@ def with_artifacts(rows: DataFrame, layouts: DataFrame, matches: DataFrame, key:
 def read_checkpoint(spark: SparkSession, path: str) -> dict:
     """stage, completed_ids, failed_ids, timestamp of a saved checkpoint; a fresh one where there is none."""
     fresh = {"stage": "poster_parsing", "completed_ids": [], "failed_ids": [], "timestamp": None}
-    try:
-        row = spark.read.schema("stage string, completed_ids array<string>, failed_ids array<string>, timestamp string").json(path, multiLine=True).first()
-    except Exception:  # noqa: BLE001 - no file yet
+    if not shared.exists(spark, path):
         return fresh
+    row = spark.read.schema("stage string, completed_ids array<string>, failed_ids array<string>, timestamp string").json(path, multiLine=True).first()
     return fresh | {k: v for k, v in row.asDict().items() if v is not None} if row else fresh
 
 
@@ -174,7 +207,11 @@ def write_json_array(rows: DataFrame, path: str) -> None:
     """One JSON array of all rows. For exports that one file may hold: a task writes the rows as they come."""
     if rows.isEmpty():
         rows.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1).write.text(path)
-        return
+    else:
+        _write_objects(rows, path)
+
+
+def _write_objects(rows: DataFrame, path: str) -> None:
     objects = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).coalesce(1)
 
     def run(frames):
@@ -191,18 +228,27 @@ def write_json_array(rows: DataFrame, path: str) -> None:
 
 
 def export(rows: DataFrame, path: str, fmt: str = "jsonl") -> int:
-    """Write rows as jsonl, json, parquet or csv; returns how many."""
+    """Write rows as jsonl, json, parquet or csv; returns how many, counted as they are written."""
     writers = {"jsonl": write_jsonl, "json": write_json_array, "parquet": lambda r, p: r.write.parquet(p), "csv": write_csv}
     if fmt not in writers:
         raise ValueError(f"format must be one of {sorted(writers)}")
-    writers[fmt](rows, path)
-    return rows.count()
+    if fmt in ("json", "csv") and rows.isEmpty():
+        writers[fmt](rows, path)
+        return 0
+    seen = Observation()
+    # A look whether there are rows would end what is observed.
+    once = writers | {"json": _write_objects, "csv": _write_lines}
+    once[fmt](rows.observe(seen, F.count(F.lit(1)).alias("n")), path)
+    return seen.get["n"]
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
     """With a header, without an index; nested columns as JSON; no file for no rows."""
-    if rows.isEmpty():
-        return
+    if not rows.isEmpty():
+        _write_lines(rows, path)
+
+
+def _write_lines(rows: DataFrame, path: str) -> None:
     nested = (T.ArrayType, T.StructType, T.MapType)
     flat = [F.to_json(f"`{f.name}`").alias(f.name) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in rows.schema]
     rows.select(flat).write.option("header", True).option("escape", chr(34)).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -220,7 +266,10 @@ def write_records(rows: DataFrame, path: str, key: str, column: str, suffix: str
             with found.open_output_stream(f"{root}/{r[0]}{suffix}") as f:
                 f.write((r[1] or "").encode())
 
-    rows.select(F.col(key).cast("string"), F.col(column).cast("string")).foreachPartition(run)
+    # A key is one name below the folder, never a path; it must not name a hidden file either, which readers skip.
+    name = F.col(key).cast("string")
+    safe = F.when(name.isNull() | (name == "") | F.regexp_like(name, F.lit(r"[/\\\\\x00]|^[._]")), F.raise_error(F.concat(F.lit("no file name: "), F.coalesce(name, F.lit("null"))))).otherwise(name)
+    rows.select(safe, F.col(column).cast("string")).foreachPartition(run)
 
 
 def copy_matches(matches: DataFrame, path: str) -> None:
@@ -250,15 +299,38 @@ def write_checkpoint(spark: SparkSession, path: str, stage: str, completed: list
     row.withColumn("timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_ordered(rows: DataFrame, path: str, *order: str, fmt: str = "json", parts: int | None = None) -> list[dict]:
+    """Write rows in order as numbered files, and `_manifest.json`: for each file its name, rows, and first and last values of the order.
+
+    Rows are dealt in ranges of the order; a last key that tells rows apart at random cuts values that many rows share, so no
+    file holds a whole set. Reading the files by name gives the order back. Returns the manifest.
+    """
+    spark = rows.sparkSession
+    salt = F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns if c not in order)))) if set(rows.columns) - set(order) else F.lit(0)
+    salted = rows.withColumn("__salt", salt)
+    keys = [*(F.col(f"`{c}`") for c in order), F.col("__salt")]
+    dealt = (salted.repartitionByRange(parts, *keys) if parts else salted.repartitionByRange(*keys)).sortWithinPartitions(*keys).drop("__salt")
+    dealt.write.mode("overwrite").format(fmt).option("ignoreNullFields", False).save(path)
+    ends = [f(F.struct(*(F.col(f"`{c}`") for c in order))).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))]
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\z", 1)
+    # A row a file.
+    found = spark.read.schema(rows.schema).format(fmt).load(path).groupBy(name.alias("file")).agg(F.count("*").alias("rows"), *ends).orderBy("file").collect()
+    manifest = [r.asDict(recursive=True) for r in found]
+    shared.write_text(spark, f"{path}/_manifest.json", json.dumps(manifest, default=str))
+    return manifest
+
+
 def write_sets(train: DataFrame, val: DataFrame, path: str) -> None:
-    """train.jsonl, val.jsonl, combined.jsonl (training rows first), each a folder."""
-    for name, rows in (("train", train), ("val", val), ("combined", train.withColumn("__s", F.lit(0)).unionByName(val.withColumn("__s", F.lit(1))).orderBy("__s").drop("__s"))):
-        write_jsonl(rows, f"{path}/{name}.jsonl", "overwrite")
+    """train.jsonl, val.jsonl, combined.jsonl (training rows first, by the manifest's order of files), each a folder."""
+    write_jsonl(train, f"{path}/train.jsonl", "overwrite")
+    write_jsonl(val, f"{path}/val.jsonl", "overwrite")
+    both = train.withColumn("set", F.lit(0)).unionByName(val.withColumn("set", F.lit(1)))
+    write_ordered(both, f"{path}/combined.jsonl", "set")
 
 
 def write_summary(summary: DataFrame, results: DataFrame, path: str) -> None:
-    """An evaluation's results by sample, and its summary as one line."""
-    results.write.mode("overwrite").partitionBy("sample_id").json(f"{path}/samples")
+    """An evaluation's results, a line for each sample, and its summary as one line."""
+    results.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/samples")
     summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
 
 

@@ -46,3 +46,13 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
     a, system = _path(spark, source)
     if not system.rename(a, _path(spark, target)[0]):
         raise OSError(f"{source} could not be renamed to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of the driver's own, as a manifest; replaced as a whole."""
+    found, system = _path(spark, path)
+    out = system.create(found, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()

@@ -285,7 +285,7 @@ def test_python_json(spark):
 def test_strip_unicode(spark):
     blanks = [chr(c) for c in range(0x3100) if chr(c).isspace()]
     texts = ["".join(blanks) + "a b" + "".join(reversed(blanks)), "\u200bx", "", " ", "x"]
-    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(scan.strip_unicode(F.col("t"))).collect()]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(jsonx.stripped(F.col("t"))).collect()]
     assert got == [t.strip() for t in texts]
 
 
