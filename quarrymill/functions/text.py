@@ -43,9 +43,11 @@ def section_patterns(section: str) -> tuple[str, ...]:
 def section(text: Column, name: str) -> Column:
     """A section's text: the first header form that occurs decides, even with an empty body.
 
-    A form is tried once: an empty list is no match, an empty text an empty body.
+    A form is searched up to its first match; what it matched tells an empty body from none.
     """
-    found = F.coalesce(*[F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0)) for pattern in section_patterns(name)], F.lit(""))
+    found = F.lit("")
+    for pattern in reversed(section_patterns(name)):
+        found = F.when(F.rlike(text, F.lit(pattern)), F.regexp_extract(text, pattern, 1)).otherwise(found)
     return F.substring(F.regexp_replace(found, r"\A\s+|\s+\z", ""), 1, SECTION_CHARS[name])
 
 

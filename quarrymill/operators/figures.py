@@ -91,13 +91,15 @@ def sign_words(vector: Column, word: int = 32) -> Column:
 def nearest_ratio(left: DataFrame, right: DataFrame, key: str, ratio: float = NEAREST_RATIO) -> DataFrame:
     """(key, good, ratio): descriptors of left (id, v) whose nearest of right in the key is nearer than `ratio` of the second nearest.
 
-    The ratio is good / the smaller number of descriptors; keys with fewer than two on either side have 0. Only the two
-    nearest of each are kept, by a partial aggregation.
+    The ratio is good / the smaller number of descriptors; keys with fewer than two on either side have 0. Of a descriptor's
+    distances only the two least are kept, before the shuffle and after it (the rank's limit goes below both).
     """
     sizes = left.groupBy(key).agg(F.count("*").alias("nl")).join(right.groupBy(key).agg(F.count("*").alias("nr")), key)
     pairs = left.select(key, F.col("id").alias("l_id"), F.col("v").alias("l_v")).join(right.select(key, F.col("v").alias("r_v")), key)
     squared = F.aggregate(F.zip_with("l_v", "r_v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    near = pairs.withColumn("d", squared).groupBy(key, "l_id").agg(F.min("d").alias("d1"), F.expr("slice(array_sort(collect_list(d)), 2, 1)[0]").alias("d2"))
+    place = F.row_number().over(W.partitionBy(key, "l_id").orderBy("d"))
+    two = pairs.select(key, "l_id", squared.alias("d")).withColumn("place", place).where("place <= 2")
+    near = two.groupBy(key, "l_id").agg(F.min("d").alias("d1"), F.max(F.when(F.col("place") == 2, F.col("d"))).alias("d2"))
     good = near.groupBy(key).agg(F.count_if(F.col("d1") < ratio * ratio * F.col("d2")).alias("good"))
     enough = (F.col("nl") >= 2) & (F.col("nr") >= 2)
     out = sizes.join(good, key, "left")
@@ -114,3 +116,36 @@ def match_report(matches: DataFrame, candidates: DataFrame, figures: DataFrame,
     out = sides.join(tried, key, "left").join(listed, key, "left")
     none = F.array().cast(out.schema["matches"].dataType)
     return out.withColumns({"candidates_found": F.coalesce("candidates_found", F.lit(0)), "matches": F.coalesce("matches", none)})
+
+
+def projection_buckets(vectors: DataFrame, dim: int, tables: int = 12, bits: int = 8, seed: int = 42) -> DataFrame:
+    """vectors(id, v) with table, bucket for each of `tables` random sign projections of `bits` bits.
+
+    The planes follow from the seed alone and are literals of the plan: tables * bits * dim numbers.
+    """
+    import numpy as np
+
+    planes = np.random.default_rng(seed).standard_normal((tables, bits, dim))
+    dot = lambda plane: F.aggregate(F.zip_with("v", F.array(*(F.lit(float(x)) for x in plane)), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    keys = []
+    for t in range(tables):
+        key = F.lit(0)
+        for plane in planes[t]:
+            key = key * 2 + F.when(dot(plane) > 0, 1).otherwise(0)
+        keys.append(F.struct(F.lit(t).alias("table"), key.cast("int").alias("bucket")))
+    return vectors.select(*vectors.columns, F.inline(F.array(*keys)))
+
+
+def nearest_approximate(left: DataFrame, right: DataFrame, dim: int, k: int = 2, tables: int = 12, bits: int = 8, seed: int = 42, salts: int = 8) -> DataFrame:
+    """(l_id, r_id, d, rank): of each left(id, v) the k nearest among right's that share a bucket with it; squared distances are exact.
+
+    For sets whose pairs are too many for nearest_ratio. A bucket may be hot: right's rows are dealt over `salts` parts of it,
+    and left's rows go to each. The exact way is a join without buckets; tests measure the recall against it.
+    """
+    a = projection_buckets(left.select(F.col("id").alias("l_id"), "v"), dim, tables, bits, seed).withColumnRenamed("v", "l_v").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    b = projection_buckets(right.select(F.col("id").alias("r_id"), "v"), dim, tables, bits, seed).withColumnRenamed("v", "r_v").withColumn("salt", F.pmod(F.xxhash64("r_id"), F.lit(salts)).cast("int"))
+    squared = F.aggregate(F.zip_with("l_v", "r_v", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    met = a.join(b, ["table", "bucket", "salt"]).select("l_id", "r_id", squared.alias("d"))
+    # A pair that meets in several tables counts once; of a part's rows only the nearest go on.
+    near = met.groupBy("l_id", "r_id").agg(F.min("d").alias("d"))
+    return near.withColumn("rank", F.row_number().over(W.partitionBy("l_id").orderBy("d", "r_id"))).where(F.col("rank") <= k)

@@ -116,24 +116,35 @@ def topics_split(spark, sf_dir):
     return rows.select("doc_id", F.posexplode(S.topics(F.col("t"))).alias("i", "topic")).select("doc_id", "topic", F.col("i").cast("long").alias("i"))
 
 
-_PATHS = "(SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'a/b.c/x.PNG' WHEN 1 THEN 'x.jpeg' WHEN 2 THEN 'd/.hidden' WHEN 3 THEN 'e/f.tar.gif' WHEN 4 THEN 'plain' ELSE 'u/w.webp' END AS path, url FROM pages)"
+#: Paths of pages: below the host of the url or elsewhere, with a suffix from the id; the stem is the url's last part.
+_PATHS = """(SELECT page_id, split_part(url, '/', 3) AS host, CASE WHEN page_id % 7 = 0 THEN 'other/' ELSE host || '/' END || lang || '/' || stem || CASE page_id % 6 WHEN 0 THEN '.PNG' WHEN 1 THEN '.jpeg' WHEN 2 THEN '.tar.gif' WHEN 3 THEN '' WHEN 4 THEN '.WebP' ELSE '.jpg' END AS path
+  FROM (SELECT page_id, url, split_part(url, '/', 4) AS lang, CASE WHEN page_id % 9 = 0 THEN '.h' ELSE 'p' END || split_part(split_part(url, '?', 1), '/', -1) AS stem FROM pages))"""
 
 
-@query(f"SELECT page_id, lower(regexp_extract(path, '[^/]\\.([^./]+)$', 1)) AS suffix, CASE lower(regexp_extract(path, '[^/]\\.([^./]+)$', 1)) WHEN 'jpg' THEN 'image/jpeg' WHEN 'jpeg' THEN 'image/jpeg' WHEN 'gif' THEN 'image/gif' WHEN 'webp' THEN 'image/webp' ELSE 'image/png' END AS media_type, CASE page_id % 6 WHEN 0 THEN 'x' WHEN 1 THEN 'x' WHEN 2 THEN '.hidden' WHEN 3 THEN 'f.tar' WHEN 4 THEN 'plain' ELSE 'w' END AS stem, CASE WHEN page_id % 6 = 5 THEN 'w.webp' ELSE path END AS below FROM {_PATHS}")
+@query(
+    f"""SELECT page_id, CASE WHEN dots > 0 THEN lower(ext) ELSE '' END AS suffix, CASE CASE WHEN dots > 0 THEN lower(ext) ELSE '' END WHEN 'jpg' THEN 'image/jpeg' WHEN 'jpeg' THEN 'image/jpeg' WHEN 'gif' THEN 'image/gif' WHEN 'webp' THEN 'image/webp' ELSE 'image/png' END AS media_type,
+  CASE WHEN dots > 0 THEN left(name, length(name) - length(ext) - 1) ELSE name END AS stem, CASE WHEN starts_with(path, host || '/') THEN path[length(host) + 2:] ELSE path END AS below
+FROM (SELECT *, split_part(name, '.', -1) AS ext, length(name[2:]) - length(replace(name[2:], '.', '')) AS dots FROM (SELECT *, split_part(path, '/', -1) AS name FROM {_PATHS}))"""
+)
 def mime_case(spark, sf_dir):
     """Suffix, media type, stem and path below a folder."""
-    n = F.col("page_id") % 6
-    path = F.when(n == 0, "a/b.c/x.PNG").when(n == 1, "x.jpeg").when(n == 2, "d/.hidden").when(n == 3, "e/f.tar.gif").when(n == 4, "plain").otherwise("u/w.webp")
-    rows = table(spark, sf_dir, "pages").select("page_id", path.alias("path"))
+    n, part = F.col("page_id"), lambda k: F.split_part(F.col("url"), F.lit("/"), F.lit(k))
+    name = F.concat(F.when(n % 9 == 0, ".h").otherwise("p"), F.split_part(F.split_part(F.col("url"), F.lit("?"), F.lit(1)), F.lit("/"), F.lit(-1)))
+    ends = F.lit("")
+    for k, ext in enumerate((".PNG", ".jpeg", ".tar.gif", "", ".WebP", ".jpg")):
+        ends = F.when(n % 6 == k, ext).otherwise(ends)
+    path = F.concat(F.when(n % 7 == 0, "other/").otherwise(F.concat(part(3), F.lit("/"))), part(4), F.lit("/"), name, ends)
+    rows = table(spark, sf_dir, "pages").select("page_id", path.alias("path"), part(3).alias("host"))
     p = F.col("path")
-    return rows.select("page_id", S.suffix(p).alias("suffix"), S.media_type(p).alias("media_type"), S.stem(p).alias("stem"), S.relative(p, F.lit("u/")).alias("below"))
+    return rows.select("page_id", S.suffix(p).alias("suffix"), S.media_type(p).alias("media_type"), S.stem(p).alias("stem"), S.relative(p, F.col("host")).alias("below"))
 
 
-@query("SELECT doc_id, length(base64(encode(text)))::BIGINT AS size, length(base64(encode(text))) <= 2000 AS fits, base64(encode(left(text, 30))) AS head FROM documents")
+@query("SELECT doc_id, length(base64(encode(text)))::BIGINT AS size, length(base64(encode(text))) <= 2000 AS fits, md5(base64(encode(text))) AS encoded_md5 FROM documents")
 def base64_size(spark, sf_dir):
-    """Sizes from lengths alone; only the head is encoded."""
+    """Sizes from lengths alone, and the digest of what encoding the whole text gives."""
     size = S.base64_size(F.octet_length("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", size.alias("size"), (size <= 2000).alias("fits"), F.replace(F.base64(F.encode(F.left("text", F.lit(30)), "UTF-8")), F.lit("\r\n"), F.lit("")).alias("head"))
+    coded = F.replace(F.base64(F.encode("text", "UTF-8")), F.lit("\r\n"), F.lit(""))
+    return table(spark, sf_dir, "documents").select("doc_id", size.alias("size"), (size <= 2000).alias("fits"), F.md5(coded).alias("encoded_md5"))
 
 
 @query(f"SELECT doc_id, CASE WHEN length(text) <= {T.max_chars(3500)} THEN text ELSE text END AS text, CASE WHEN length(text) <= {T.max_chars(3500)} THEN 'none_needed' ELSE 'none' END AS method FROM documents")

@@ -72,10 +72,26 @@ def match_report(spark, sf_dir):
     return out.select("pair", "poster_figures_count", "paper_figures_count", "candidates_found", F.size("matches").cast("long").alias("matches"), F.nullif(said, F.lit("")).alias("digest"))
 
 
-@query("SELECT vec_id, round(0.3 * (1 - embedding[1]::DOUBLE ** 2) + 0.3 * abs(embedding[2]::DOUBLE) + 0.4 * (embedding[3]::DOUBLE ** 2), 9) AS combined FROM embeddings")
+#: Three scores of a pair over all components: share of equal signs, how close their sums are, share of close components.
+_THREE = f"""(SELECT pair, l_id, r_id, greatest(0.0, 1 - list_sum(list_transform(z, lambda e: ((e[1] > 0) <> (e[2] > 0))::INT)) / 64.0)::DOUBLE AS phash, 1 / (1 + abs(list_sum(list_transform(z, lambda e: floor(64 * e[1]::DOUBLE) - floor(64 * e[2]::DOUBLE))) / 64)) AS ssim,
+  len(list_filter(z, lambda e: abs(floor(64 * e[1]::DOUBLE) - floor(64 * e[2]::DOUBLE)) <= 4)) / len(z) AS feature FROM (SELECT a.vec_id // {_PAIR} AS pair, a.vec_id AS l_id, b.vec_id AS r_id, list_zip(a.embedding, b.embedding) AS z
+  FROM embeddings a JOIN embeddings b ON a.vec_id // {_PAIR} = b.vec_id // {_PAIR} AND a.vec_id % 2 = 0 AND b.vec_id % 2 = 1))"""
+
+
+def _three(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings")
+    units = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64))
+    side = lambda odd, n: v.where(F.col("vec_id") % 2 == odd).select(F.floor(F.col("vec_id") / _PAIR).alias("pair"), F.col("vec_id").alias(f"{n}_id"), G.sign_words(F.col("embedding")).alias(f"{n}_hash"), units.alias(f"{n}_v"))
+    both = side(0, "l").join(side(1, "r"), "pair")
+    apart = F.zip_with("l_v", "r_v", lambda a, b: a - b)
+    total = F.aggregate(apart, F.lit(0).cast("long"), lambda s, x: s + x)
+    scores = G.pair_scores(T.hamming_score(G.hash_distance(F.col("l_hash"), F.col("r_hash"))), 1 / (1 + F.abs(total / 64)), F.size(F.filter(apart, lambda x: F.abs(x) <= 4)) / F.size(apart))
+    return both.select("pair", "l_id", "r_id", scores.alias("s"))
+
+
+@query(f"SELECT pair, l_id, r_id, round(0.3 * phash + 0.3 * ssim + 0.4 * feature, 9) AS combined FROM {_THREE}")
 def combined_score(spark, sf_dir):
-    part = lambda i: F.element_at("embedding", i).cast("double")
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(G.combined_score(1 - part(1) * part(1), F.abs(part(2)), part(3) * part(3)), 9).alias("combined"))
+    return _three(spark, sf_dir).select("pair", "l_id", "r_id", F.round("s.combined", 9).alias("combined"))
 
 
 @query(
@@ -153,8 +169,35 @@ def page_numbers(spark, sf_dir):
     return G.page_numbers(table(spark, sf_dir, "conversations").select("conv_id", "turn"), "turn")
 
 
-@query("SELECT vec_id, round(0.3 * 0.5 + 0.3 * (vec_id % 3) + 0.4 * (vec_id % 2), 9)::DOUBLE AS combined, (vec_id % 3)::DOUBLE AS ssim FROM embeddings")
+@query(f"SELECT pair, l_id, r_id, round(phash, 9) AS phash, round(ssim, 9) AS ssim, round(feature, 9) AS feature FROM {_THREE}")
 def pair_scores(spark, sf_dir):
-    part = lambda n: (F.col("vec_id") % n).cast("double")
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", G.pair_scores(F.lit(0.5), part(3), part(2)).alias("s"))
-    return rows.select("vec_id", F.round("s.combined", 9).alias("combined"), F.col("s.ssim").alias("ssim"))
+    """All scores of a pair apart."""
+    return _three(spark, sf_dir).select("pair", "l_id", "r_id", *(F.round(f"s.{c}", 9).alias(c) for c in ("phash", "ssim", "feature")))
+
+
+_FIGURE_SQL = "{'figure_id': 'f' || %s, 'source_doc': '%s', 'file_path': '/fig/' || %s || '.png', 'bbox': NULL, 'caption': NULL, 'figure_type': NULL, 'page_number': 1}"
+
+
+@query(
+    f"""SELECT pair, l_id, r_id, to_json({{'poster_figure': {_FIGURE_SQL % ('l_id', 'poster', 'l_id')}, 'paper_figure': {_FIGURE_SQL % ('r_id', 'paper', 'r_id')}, 'match_confidence': CASE WHEN score >= 0.5 THEN 'high' ELSE 'medium' END, 'feature_score': score,
+  'vlm_verdict': {_VERDICT}, 'vlm_confidence': NULL, 'vlm_reasoning': NULL}})::VARCHAR AS record FROM {_MATCHES} WHERE score >= 0.25"""
+)
+def match_records(spark, sf_dir):
+    """Each match as a record's JSON, with both figures inside."""
+    from quarrymill.functions import records as R
+
+    figure = lambda c, source: R.record("figure", figure_id=F.concat(F.lit("f"), c), source_doc=F.lit(source), file_path=F.concat(F.lit("/fig/"), c, F.lit(".png")))
+    level = F.when(F.col("verdict") == "same", "high").otherwise("medium")
+    record = R.record("match", poster_figure=figure(F.col("l_id"), "poster"), paper_figure=figure(F.col("r_id"), "paper"), match_confidence=level, feature_score=F.col("score"), vlm_verdict=F.col("verdict"))
+    return _feature_only(spark, sf_dir).select("pair", "l_id", "r_id", R.as_json(record).alias("record"))
+
+
+@query("SELECT doc_id, to_json({'doc_id': doc_id::VARCHAR, 'doc_type': 'paper', 'source_path': source, 'markdown_content': text, 'figures': [], 'tables': [], 'equations': [], 'metadata': {}})::VARCHAR IS NOT NULL AS whole, source AS source_path, md5(text) AS content_md5, 0 AS figures, '{}' AS metadata FROM documents")
+def document_records(spark, sf_dir):
+    """Documents as records' JSON over whole texts, read back."""
+    from quarrymill.functions import records as R
+
+    record = R.record("document", doc_id=F.col("doc_id"), doc_type=F.lit("paper"), source_path=F.col("source"), markdown_content=F.col("text"))
+    said = table(spark, sf_dir, "documents").select("doc_id", R.as_json(record).alias("json"))
+    back = said.select("doc_id", R.loaded("document", F.col("json")).alias("r"))
+    return back.select("doc_id", F.col("r").isNotNull().alias("whole"), "r.source_path", F.md5("r.markdown_content").alias("content_md5"), F.size("r.figures").alias("figures"), F.to_json("r.metadata").alias("metadata"))

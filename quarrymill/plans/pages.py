@@ -115,3 +115,36 @@ def sql_functions(spark, sf_dir):
         """SELECT doc_id, estimate_tokens(text) AS tokens, truncate_head(text, 6000) AS head, capped_content(text) AS capped, size(topics_of(concat(source, ',', lang))) AS topics, year_of(lang) AS year, hash_score(doc_id, doc_id * 7) AS score FROM {docs}""",
         docs=table(spark, sf_dir, "documents"),
     )
+
+
+_FORMATS = ("jsonl", "parquet", "csv")
+
+
+@query(f"SELECT fmt, doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents, (VALUES {', '.join(f'({chr(39)}{f}{chr(39)})' for f in _FORMATS)}) t(fmt)")
+def exported_rows(spark, sf_dir):
+    """Rows of each export format, written and read back over whole texts."""
+    from quarrymill.sources import files
+
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text")
+    schema = "doc_id long, lang string, n_chars long, text string"
+    out = []
+    for fmt in _FORMATS:
+        path = f"{_root(spark, sf_dir, 'exports')}/{fmt}"
+        shared.delete(spark, path)
+        files.export(rows, path, fmt)
+        back = {"jsonl": lambda p: files.read_jsonl(spark, p, schema), "parquet": spark.read.parquet, "csv": lambda p: spark.read.schema(schema).csv(p, header=True, multiLine=True, escape='"')}[fmt](path)
+        out.append(back.select(F.lit(fmt).alias("fmt"), "doc_id", "lang", F.col("n_chars").cast("long").alias("n_chars"), F.md5("text").alias("text_md5")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query("SELECT set, count(*) AS n, bit_xor(doc_id) AS ids FROM (SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) <= floor((SELECT count(*) FROM documents) * 0.9) THEN 0 ELSE 1 END AS set FROM documents) GROUP BY 1")
+def ordered_sets(spark, sf_dir):
+    """Training and validation rows as ordered files, read back by the manifest."""
+    from quarrymill.operators import prepare
+    from quarrymill.sources import files
+
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("n"))
+    path = f"{_root(spark, sf_dir, 'ordered')}/combined"
+    manifest = files.write_ordered(prepare.split_sets(rows, "doc_id")[2], path, "set")
+    found = spark.read.schema("doc_id long, n int, set int").json([f"{path}/{m['file']}" for m in manifest])
+    return found.groupBy("set").agg(F.count("*").alias("n"), F.bit_xor("doc_id").alias("ids"))

@@ -97,13 +97,15 @@ def json_recover_described(spark, sf_dir):
     return _layout_row(_described(spark, sf_dir).select("doc_id", J.described_layout(F.col("answer")).alias("layout")))
 
 
-@query("SELECT * FROM (VALUES ('response', 15, 5, 2), ('described', 10, 3, 4)) t(kind, header_height, colours, lists)")
+@query("SELECT doc_id, kind, CASE kind WHEN 'response' THEN 15 ELSE 10 END AS header_height, CASE kind WHEN 'response' THEN 5 ELSE 3 END AS colours, CASE kind WHEN 'response' THEN 2 ELSE 4 END AS lists FROM documents, (VALUES ('response'), ('described')) t(kind)")
 def layout_defaults(spark, sf_dir):
-    """The two default layouts: header height, number of colours, number of empty lists."""
-    rows = spark.createDataFrame([("response", J.POSTER_LAYOUT), ("described", J.DESCRIBED_LAYOUT)], "kind string, layout string")
+    """The layouts that both recoveries put in place of answers without one (whole texts): header height, number of colours, of empty lists."""
+    text = F.col("text")
+    kinds = F.array(F.struct(F.lit("response").alias("kind"), J.split_response(text)[1].alias("layout")), F.struct(F.lit("described").alias("kind"), J.described_layout(text).alias("layout")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.inline(kinds))
     colours = F.size(F.json_object_keys(J.field(F.col("layout"), "$.color_scheme")))
     lists = sum((F.when(J.field(F.col("layout"), f"$.{k}") == "[]", 1).otherwise(0) for k in ("sections", "figures", "flowcharts", "special_elements")), F.lit(0))
-    return rows.select("kind", J.field(F.col("layout"), "$.header.height_pct", "int").alias("header_height"), colours.alias("colours"), lists.alias("lists"))
+    return rows.select("doc_id", "kind", J.field(F.col("layout"), "$.header.height_pct", "int").alias("header_height"), colours.alias("colours"), lists.alias("lists"))
 
 
 @query(f"SELECT doc_id, coalesce(json_array_length(json_extract(layout, '$.sections')), 0)::INT AS sections, coalesce(json_array_length(json_extract(layout, '$.figures')), 0)::INT AS figures FROM ({_DESCRIBED_LAYOUT})")
