@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, looked_up, pieces, scratch_path, written
+from quarrymill.llm.common import as_bytes, pieces, scratch_path, written
 
 WIDTH = 576
 #: Lines that are compressed at once; digests that a task remembers (beyond it a payload may be stored again, and one place is used).
@@ -39,6 +39,8 @@ LINES, REMEMBERED = 4096, 500_000
 #: Signature and IHDR chunk.
 HEADER_BYTES = 33
 _PNG = b"\x89PNG\r\n\x1a\n"
+#: A text of at most so many rows is never a common one.
+HOT_ROWS = 1000
 _PLACE = "digest string, shard string, offset bigint, length bigint"
 
 
@@ -143,9 +145,9 @@ def store(docs: DataFrame, id_col="doc_id", text_col="text", root: str | None =
 
 
 def places(index: DataFrame) -> DataFrame:
-    """One place for each digest: digest, shard, offset, length."""
-    least = index.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at"))
-    return least.select("digest", "at.shard", "at.offset", "at.length")
+    """One place for each digest, and how many rows have it: digest, shard, offset, length, n."""
+    least = index.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at"), F.count("*").alias("n"))
+    return least.select("digest", "at.shard", "at.offset", "at.length", "n")
 
 
 def _ranged(at: DataFrame, read, schema: str, header_only: bool) -> DataFrame:
@@ -193,6 +195,10 @@ def media_columns(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFram
     """Store every text and read all back: one row per row of docs."""
     index = store(docs, id_col, text_col)
     at = written(places(index), "media-places")
-    filled = written(at.join(read_headers(at), "digest").join(read_payloads(at), "digest").withColumnRenamed("digest", "f_digest"), "media-facts")
-    # One text may be that of a third of all rows; a row of facts has some hundred bytes.
-    return looked_up(index.select("doc_id", "n_bytes", "digest"), filled, {"digest": "f_digest"}, "doc_id", most=10_000).drop("f_digest")
+    facts = lambda at: at.drop("n").join(read_headers(at), "digest").join(read_payloads(at), "digest")
+    # A text that more than a thousandth of all rows have is no key to shuffle by; there are less than a thousand such.
+    bound = max(HOT_ROWS, (at.agg(F.sum("n")).first()[0] or 0) // 1000)
+    hot, rest = at.where(F.col("n") > bound), at.where(F.col("n") <= bound)
+    rows = index.select("doc_id", "n_bytes", "digest")
+    common = rows.join(F.broadcast(facts(hot)), "digest")
+    return rows.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(facts(rest), "digest").unionByName(common)

@@ -41,3 +41,18 @@ def test_case_beyond_ascii(spark):
     docs = spark.createDataFrame([(1, "ſecret42"), (2, "SECRET7"), (3, "none")], "doc_id long, text string")
     found = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["secrets"]] for r in secrets.scan(docs, rules).collect()}
     assert found == {1: [("key", 0, 8)], 2: [("key", 0, 7), ("plain", 0, 7)], 3: []}
+
+
+def test_common_texts_of_media(spark, monkeypatch):
+    """A text that most rows have is joined apart from the others; every row gets what a brute force gives it."""
+    from quarrymill.llm import media
+
+    monkeypatch.setattr(media, "HOT_ROWS", 2)
+    texts = ["same"] * 40 + ["twice"] * 2 + [f"own {i}" for i in range(30)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in media.media_columns(docs).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        payload = media.payload_of((text or "").encode())
+        assert (got[i]["n_bytes"], got[i]["payload_bytes"], got[i]["digest"]) == (len((text or "").encode()), len(payload), media.hashlib.sha256(payload).hexdigest())
+    assert media.media_columns(docs.limit(0)).count() == 0
