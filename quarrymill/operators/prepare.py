@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import pickle
 import random
+import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarrymill.functions import text as T
 from quarrymill.operators.tables import FULL_CHARS, split_train_val
+from quarrymill.sources import shared
 
 
 def prepared(rows: DataFrame, max_tokens: int = 8192, strategy: str = "smart", fmt: str = "alpaca") -> DataFrame:
@@ -36,6 +42,76 @@ def split_sets(rows: DataFrame, key: str, ratio: float = 0.1, seed: int = 42) ->
     return train, val, train.withColumn("set", F.lit(0)).unionByName(val.withColumn("set", F.lit(1)))
 
 
+#: Draws of the generator that a task makes again from a state.
+BLOCK = 1 << 20
+
+
+def _swaps(spark: SparkSession, n: int, seed: int, block: int) -> DataFrame:
+    """(i, j): the shuffle of n items swaps i with j, for i from n - 1 down to 1.
+
+    The driver runs the generator and keeps its state at each block; tasks draw the blocks again.
+    """
+    rng, blocks, top = random.Random(seed), [], n - 1
+    while top > 0:
+        count = min(block, top)
+        blocks.append((top, count, pickle.dumps(rng.getstate())))
+        top -= count
+        if top > 0:
+            for i in range(top + count, top, -1):
+                rng._randbelow(i + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = random.Random()
+                own.setstate(pickle.loads(row["state"]))
+                for lo in range(row["top"], row["top"] - row["n"], -10_000):
+                    at = range(lo, max(lo - 10_000, row["top"] - row["n"]), -1)
+                    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([own._randbelow(i + 1) for i in at], pa.int64())], ["i", "j"])
+
+    states = spark.createDataFrame(blocks, "top long, n long, state binary")
+    return states.repartition(max(1, len(blocks))).mapInArrow(run, "i bigint, j bigint")
+
+
+def _roots(ahead: DataFrame) -> DataFrame:
+    """(k, root) of pointers (k, root) without cycles: each follows its target's pointer until none has one, by doubling."""
+    spark, folder, number = ahead.sparkSession, f"{shared.shared_root(ahead.sparkSession)}/shuffle-{uuid.uuid4().hex}", 0
+    while True:
+        path = f"{folder}/{number}"
+        ahead.write.parquet(path)
+        now = spark.read.parquet(path)
+        further = now.select(F.col("k").alias("__k"), F.col("root").alias("__next"))
+        if now.join(further, F.col("root") == F.col("__k"), "left_semi").isEmpty():
+            return now
+        ahead = now.join(further, F.col("root") == F.col("__k"), "left").select("k", F.coalesce("__next", "root").alias("root"))
+        number += 1
+
+
+def mersenne_places(spark: SparkSession, n: int, seed: int = 42, block: int = BLOCK) -> DataFrame:
+    """(from, shuffled): where each of n items, numbered from 0, stands after a seeded Mersenne Twister shuffle of their list.
+
+    Swap i brings to i what stands at j just before. That came from the least i' > i that also swapped with j (or is j itself),
+    and what stood at i' just before its own swap from the least i'' > i' that swapped with i', and so on: pointers that rise,
+    whose ends are found by doubling. Nothing of length n is on the driver or in one task.
+    """
+    if n == 0:
+        return spark.createDataFrame([], "`from` long, shuffled long")
+    path = f"{shared.shared_root(spark)}/swaps-{uuid.uuid4().hex}"
+    _swaps(spark, n, seed, block).write.parquet(path)
+    swaps = spark.read.schema("i long, j long").parquet(path)
+    roots = _roots(swaps.where("i > j").groupBy(F.col("j").alias("k")).agg(F.min("i").alias("root")))
+    # A place swaps with few others: about the logarithm of n.
+    later = F.lead("i").over(W.partitionBy("j").orderBy("i"))
+    origin = swaps.select(F.col("i").alias("shuffled"), "j", later.alias("later"))
+    origin = origin.unionByName(spark.createDataFrame([(0,)], "shuffled long").select("shuffled", F.lit(0).cast("long").alias("j"), F.lit(None).cast("long").alias("later")))
+    # The first place has no swap of its own: what stands there came by the last one that swapped with it.
+    start = F.when(F.col("shuffled") == 0, F.lit(0)).otherwise(F.coalesce("later", "j")).cast("long")
+    follows = F.col("later").isNotNull() | (F.col("shuffled") == 0)
+    found = origin.select("shuffled", start.alias("start"), follows.alias("follows"))
+    joined = found.join(roots, (F.col("start") == F.col("k")) & F.col("follows"), "left")
+    return joined.select(F.coalesce("root", "start").alias("from"), "shuffled")
+
+
 def mersenne_order(n: int, seed: int = 42) -> list[int]:
     """The order in which a list of n items stands after a seeded Mersenne Twister shuffle."""
     order = list(range(n))
@@ -44,14 +120,6 @@ def mersenne_order(n: int, seed: int = 42) -> list[int]:
 
 
 def mersenne_shuffled(rows: DataFrame, position: str, seed: int = 42) -> DataFrame:
-    """rows with `shuffled`, their place after that shuffle. position numbers them from 0 without gaps.
-
-    The permutation depends on their count alone; it is made on the driver and joined, so it is meant for sets that a
-    driver can number (a shuffle that must not grow with a driver is split_train_val's).
-    """
-    spark = rows.sparkSession
-    order = mersenne_order(rows.count(), seed)
-    import pandas as pd
-
-    places = spark.createDataFrame(pd.DataFrame({"__from": order, "shuffled": range(len(order))}), "__from long, shuffled long") if order else spark.createDataFrame([], "__from long, shuffled long")
-    return rows.join(places, F.col(position) == F.col("__from")).drop("__from")
+    """rows with `shuffled`, their place after that shuffle. position numbers them from 0 without gaps."""
+    places = mersenne_places(rows.sparkSession, rows.count(), seed).withColumnRenamed("from", "__from")
+    return rows.join(places, F.col(f"`{position}`") == F.col("__from")).drop("__from")

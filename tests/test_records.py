@@ -65,3 +65,12 @@ def test_approximate_recall(spark):
     got = {(r["l_id"], r["r_id"]) for r in rows}
     assert len(got) == len(rows) and all(r["d"] == pytest.approx(exact[r["l_id"], r["r_id"]]) for r in rows)
     assert len(got & want) >= 0.9 * len(want)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 17, 20_000])
+def test_shuffle_of_blocks(spark, n):
+    """The list's own shuffle, from states of blocks and pointers."""
+    from quarrymill.operators import prepare
+
+    got = prepare.mersenne_places(spark, n, 42, block=max(1, n // 5)).orderBy("shuffled").collect()
+    assert [r["from"] for r in got] == prepare.mersenne_order(n, 42) and [r["shuffled"] for r in got] == list(range(n))
