@@ -35,6 +35,8 @@ JACCARD = 0.8
 DISTANCE = 3
 BANDS = 32
 ROWS = 6
+#: Bytes of a bucket's bit matrix; a larger one's intersections are counted by shingles.
+MOST_BITS = 128 << 20
 #: Shingles that are hashed at once.
 _CHUNK = 4096
 _RNG = np.random.default_rng(42)
@@ -68,17 +70,15 @@ def set_links(fps: np.ndarray, sets: list[np.ndarray], least: float = JACCARD) -
     sizes = np.array([len(sets[i]) for i in order.tolist()])
     rows = np.repeat(np.arange(len(sets)), sizes)
     _, cols, counts = np.unique(np.concatenate([sets[i] for i in order.tolist()]), return_inverse=True, return_counts=True)
-    # What only one member has is in no intersection; the rest is a bit for every member.
+    # What only one member has is in no intersection.
     rows, cols = rows[counts[cols] > 1], (np.cumsum(counts > 1) - 1)[cols[counts[cols] > 1]]
-    bits = np.zeros((len(sets), int((counts > 1).sum()) // 64 + 1), np.uint64)
-    np.bitwise_or.at(bits, (rows, cols >> 6), np.uint64(1) << (cols & 63).astype(np.uint64))
+    width = int((counts > 1).sum())
+    common = _by_bits(rows, cols, len(sets), width) if len(sets) * (width // 64 + 1) * 8 <= MOST_BITS else _by_places(rows, cols, len(sets), width)
     stop = np.searchsorted(sizes, sizes / least + 1e-9, "right")
     label, links = np.arange(len(sets)), []
     for i, end in enumerate(stop.tolist()):
         other = i + 1 + np.flatnonzero(label[i + 1 : end] != label[i])
-        for lo in range(0, len(other), _CHUNK):
-            part = other[lo : lo + _CHUNK]
-            both = np.bitwise_count(bits[part] & bits[i]).sum(axis=1, dtype=np.int64)
+        for part, both in common(i, other):
             for j in part[both >= least * (sizes[part] + sizes[i] - both) - 1e-9].tolist():
                 if label[j] != label[i]:
                     label[label == label[j]] = label[i]
@@ -86,6 +86,36 @@ def set_links(fps: np.ndarray, sets: list[np.ndarray], least: float = JACCARD) -
     return links
 
 
+def _by_bits(rows: np.ndarray, cols: np.ndarray, n: int, width: int):
+    """(i, others) -> parts of the others with the sizes of their intersections with i: a bit for each member and shared shingle."""
+    bits = np.zeros((n, width // 64 + 1), np.uint64)
+    np.bitwise_or.at(bits, (rows, cols >> 6), np.uint64(1) << (cols & 63).astype(np.uint64))
+
+    def common(i: int, other: np.ndarray):
+        for lo in range(0, len(other), _CHUNK):
+            part = other[lo : lo + _CHUNK]
+            yield part, np.bitwise_count(bits[part] & bits[i]).sum(axis=1, dtype=np.int64)
+
+    return common
+
+
+def _by_places(rows: np.ndarray, cols: np.ndarray, n: int, width: int):
+    """The same in memory that grows with the sets alone: each shared shingle's members, counted for the shingles of i."""
+    own = np.searchsorted(rows, np.arange(n + 1))  # rows come sorted
+    by_col = np.argsort(cols, kind="stable")
+    members, edge = rows[by_col].astype(np.int32), np.searchsorted(cols[by_col], np.arange(width + 1))
+
+    def common(i: int, other: np.ndarray):
+        if not len(other):
+            return
+        both = np.zeros(n, np.int64)
+        for c in cols[own[i] : own[i + 1]].tolist():
+            both[members[edge[c] : edge[c + 1]]] += 1  # a member stands once with a shingle
+        yield other, both[other]
+
+    return common
+
+
 def _named(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, fp, sim, keys: the name of every text's set, its SimHash, the set's band keys."""
 
