@@ -44,6 +44,45 @@ def ssim_score(size: int = 256):
     return score
 
 
+def good_matches(p: np.ndarray, q: np.ndarray, ratio: float = 0.7, block: int = 256) -> int:
+    """Rows of p whose nearest row of q is nearer than `ratio` of the second nearest; distances of a block of rows at a time."""
+    p, q = p.astype(float), q.astype(float)
+    lengths, good = (q * q).sum(axis=1), 0
+    for lo in range(0, len(p), block):
+        own = p[lo : lo + block]
+        d = (own * own).sum(axis=1)[:, None] + lengths[None, :] - 2 * own @ q.T
+        two = np.sqrt(np.maximum(np.partition(d, 1, axis=1)[:, :2], 0))
+        good += int((two[:, 0] < ratio * two[:, 1]).sum())
+    return good
+
+
+def resized(gray: np.ndarray, size: int) -> np.ndarray:
+    """A grey picture of any shape as size x size samples: the mean of what each sample covers, edges by their share."""
+    def shares(n: int) -> np.ndarray:
+        edge = np.linspace(0, n, size + 1)
+        lo, hi = edge[:-1, None], edge[1:, None]
+        at = np.arange(n)[None, :]
+        cover = np.clip(np.minimum(hi, at + 1) - np.maximum(lo, at), 0, None)
+        return cover / cover.sum(axis=1, keepdims=True)
+
+    return np.clip(np.rint(shares(gray.shape[0]) @ gray.astype(float) @ shares(gray.shape[1]).T), 0, 255).astype(np.uint8)
+
+
+def grey_samples(size: int = 256):
+    """A UDF of (bytes of grey samples by rows, width) -> bytes of size x size samples, as ssim_score takes them; null where the width doesn't fit."""
+
+    @F.pandas_udf("binary")
+    def scale(samples: pd.Series, width: pd.Series) -> pd.Series:
+        def one(x, w):
+            if x is None or w is None or w != w or w < 1 or not len(x) or len(x) % int(w):
+                return None
+            return resized(np.frombuffer(x, np.uint8).reshape(-1, int(w)), size).tobytes()
+
+        return pd.Series([one(x, w) for x, w in zip(samples, width, strict=True)], dtype=object)
+
+    return scale
+
+
 def feature_score(describe):
     """A UDF of two columns of pictures (bytes): the ratio of good nearest descriptors; describe(bytes) -> rows of a matrix or null. Errors give 0."""
 
@@ -54,9 +93,7 @@ def feature_score(describe):
                 p, q = describe(x), describe(y)
                 if p is None or q is None or len(p) < 2 or len(q) < 2:
                     return 0.0
-                d = ((p[:, None, :].astype(float) - q[None, :, :]) ** 2).sum(axis=2)
-                two = np.sqrt(np.partition(d, 1, axis=1)[:, :2])
-                return float((two[:, 0] < 0.7 * two[:, 1]).sum()) / min(len(p), len(q))
+                return good_matches(p, q) / min(len(p), len(q))
             except Exception:  # noqa: BLE001 - an error is no match
                 return 0.0
 
