@@ -23,6 +23,9 @@ _UNSET = "file:///tmp/checkpoints/quarrymill"
 #: A side of at most so many rows is broadcast; beyond it the other side's keys are salted SALTS ways.
 BROADCAST_ROWS = 50_000
 SALTS = 16
+#: Bits of the bitmap that `parted` broadcasts: 4 MB at most.
+SIEVE_BITS = 1 << 25
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Paths of the scopes that are open in this thread, innermost last.
 _SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
@@ -64,6 +67,17 @@ def scratch(spark: SparkSession):
             delete(spark, path)
 
 
+@contextmanager
+def swept(spark: SparkSession):
+    """What is written inside leaves no shuffle files, which else stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df to the shared folder and read it back."""
     spark = df.sparkSession
@@ -91,6 +105,21 @@ def looked_up(rows: DataFrame, small: DataFrame, on: dict[str, str], spread: str
     return salted.join(copies, same & (F.col("__salt") == F.col("__copy")), how).drop("__salt", "__copy")
 
 
+def parted(rows: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(some, rest): all rows whose key is in the one column of wanted are in some, with few others; each row is in one of the two.
+
+    A bitmap of the wanted keys' hashes is broadcast, of SIEVE_BITS however many there are, so that a join of some with
+    wanted, which still decides, need not move the rest. Where the bitmap fills up, some is all rows. rows is read for each part.
+    """
+    place = F.pmod(F.xxhash64(wanted.columns[0]), F.lit(SIEVE_BITS))
+    bits = wanted.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    at = F.pmod(F.xxhash64(rows[f"`{key}`"]), F.lit(SIEVE_BITS))
+    bit = F.bitmap_bit_position(at).cast("int")
+    byte = F.conv(F.hex(F.substring(bits["bits"], F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = (F.bitmap_bucket_number(at) == bits["part"]) & (F.getbit(byte, bit % 8) == 1)
+    return rows.join(F.broadcast(bits), found, "left_semi"), rows.join(F.broadcast(bits), found, "left_anti")
+
+
 def ranked(rows: DataFrame, keys: tuple[str, str], place: list[str], name: str) -> DataFrame:
     """Rank of each row's keys (two longs) in their global order, and whether the keys stand at an earlier place.
 

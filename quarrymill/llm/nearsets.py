@@ -9,7 +9,8 @@ So BANDS bands of ROWS MinHash values find the others: a pair of Jaccard 0.8 sha
 
 Equal sets are one row before the indexes, and buckets of the same members are one bucket. A bucket's members meet
 with their sets and are verified there: all pairs that a bound on their sizes allows and that the bucket has not
-joined yet. A bucket emits a star for each of its clusters, not all pairs.
+joined yet. A bucket emits a star for each of its clusters, not all pairs. Texts that share no bucket, and documents that
+stay, are not shuffled: `parted` keeps them out of the joins by a bitmap, the joins decide about the rest.
 
 Defined results as of simhash: ASCII letters are lower-cased; fewer words than a shingle has give one shingle
 of all; no words (null, empty, white space) give the empty set, and empty sets are equal; repeated ids share a
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, looked_up, pieces, sorted_runs, written
+from quarrymill.llm.common import as_bytes, looked_up, parted, pieces, sorted_runs, swept, written
 from quarrymill.llm.components import connected_components
 from quarrymill.llm.simhash import fingerprint, fingerprint_links, shingle_hashes
 
@@ -192,17 +193,20 @@ def _links(members: DataFrame, least: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: int = WIDTH, least: float = JACCARD) -> DataFrame:
     """doc_id, fp, component_id (the least doc_id that links reach): one row per row of docs."""
     picked = docs.selectExpr(f"`{id_col}` AS doc_id", f"CAST(`{text_col}` AS STRING) AS text")
-    named = written(_named(picked, width), "near-named")
-    once = written(named.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("sim").alias("sim"), F.first("keys").alias("keys")), "near-distinct")
-    shared = written(_shared(once.select(F.explode("keys").alias("key"), "fp")).unionByName(_similar(once.select("fp", "sim"))), "near-shared")
-    wanted = once.join(shared.select(F.col("fp").alias("w_fp")), F.col("fp") == F.col("w_fp"), "left_semi").select("first").distinct()
-    sets = _sets(picked.join(wanted, F.col("doc_id") == F.col("first"), "left_semi"), width).withColumnRenamed("fp", "s_fp")
-    members = shared.join(sets, F.col("fp") == F.col("s_fp")).select("bucket", "fp", "s")
-    labels = connected_components(_links(members, least))
-    # Of every set its component's least doc_id; a set without links is its own component.
-    tagged = once.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
-    tops = tagged.groupBy("label").agg(F.min("first").alias("component_id")).withColumnRenamed("label", "top")
-    owner = written(tagged.join(tops, F.col("label") == F.col("top")).select(F.col("fp").alias("o_fp"), "component_id"), "near-owners")
+    with swept(docs.sparkSession):
+        named = written(_named(picked, width), "near-named")
+        once = written(named.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min("sim").alias("sim"), F.first("keys").alias("keys")), "near-distinct")
+        shared = written(_shared(once.select(F.explode("keys").alias("key"), "fp")).unionByName(_similar(once.select("fp", "sim"))), "near-shared")
+        # Most texts share no bucket with another; they stay where they are.
+        wanted = written(once.join(shared.select(F.col("fp").alias("w_fp")), F.col("fp") == F.col("w_fp"), "left_semi").select("first").distinct(), "near-wanted")
+        some, _ = parted(picked, "doc_id", wanted)
+        sets = _sets(some.join(wanted, F.col("doc_id") == F.col("first"), "left_semi"), width).withColumnRenamed("fp", "s_fp")
+        members = shared.join(sets, F.col("fp") == F.col("s_fp")).select("bucket", "fp", "s")
+        labels = connected_components(_links(members, least))
+        # Of every set its component's least doc_id; a set without links is its own component.
+        tagged = once.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+        tops = tagged.groupBy("label").agg(F.min("first").alias("component_id")).withColumnRenamed("label", "top")
+        owner = written(tagged.join(tops, F.col("label") == F.col("top")).select(F.col("fp").alias("o_fp"), "component_id"), "near-owners")
     # A set may be that of a third of all rows.
     return looked_up(named.select("doc_id", "fp"), owner, {"fp": "o_fp"}, "doc_id").select("doc_id", "fp", "component_id")
 
@@ -210,4 +214,7 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width: in
 def deduplicated(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """docs without those that have a component of an earlier document; its columns are unchanged."""
     drop = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__near_id")).distinct()
-    return docs.join(drop, docs[f"`{id_col}`"] == drop["__near_id"], "left_anti")
+    with swept(docs.sparkSession):
+        drop = written(drop, "near-drop")
+    some, rest = parted(docs, id_col, drop)
+    return rest.union(some.join(drop, some[f"`{id_col}`"] == drop["__near_id"], "left_anti"))
