@@ -97,3 +97,12 @@ def test_parted(spark, bits, monkeypatch):
             assert must <= set(ids[0])
             if bits == 1 << 25 and None not in wanted:
                 assert len(ids[0]) < len(must) + 10
+
+
+def test_swept(spark):
+    """A write inside leaves no shuffle files, and the setting is as before."""
+    before = set(shuffled(spark)[1])
+    with common.swept(spark):
+        table = common.written(spark.range(20_000).repartition(5, "id").groupBy((common.F.col("id") % 7).alias("k")).count(), "swept")
+    assert set(shuffled(spark)[1]) <= before
+    assert sum(r["count"] for r in table.collect()) == 20_000 and spark.conf.get(common._CLEANUP) == "false"
