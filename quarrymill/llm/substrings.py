@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import as_bytes, dropped, equal_neighbours, one_batch, pieces, ranked, written
+from quarrymill.llm.common import as_bytes, dropped, equal_neighbours, one_batch, pieces, ranked, swept, written
 
 WINDOW = 20
 CHAIN = 2
@@ -317,17 +317,19 @@ def repeats(texts: DataFrame, window: int = WINDOW, chain: int = CHAIN) -> DataF
                         found.append((sums[:, 0], sums[:, 1], np.full(len(at), number), at + base, np.ones(len(at), np.int64)))
                 yield _compared(part, rank, tuple(np.concatenate(x) for x in zip(*found, strict=True)))
 
-    first = written(texts.mapInArrow(named, schema), "recompression-anchors")
-    order = ["a", "b", *_PLACE]
-    sorted_ = first.where(f"kind = {_OPEN}").drop("kind").repartitionByRange(*order).sortWithinPartitions(*order)
-    second = written(sorted_.mapInArrow(classes, f"kind tinyint, doc_id {key}, v int, at int, n int"), "recompression-classes")
-    known = written(first.where(f"kind = {_LATER}").select(*_PLACE, "n"), "recompression-known")
-    dropped(first)
-    code = F.col("at").cast("long") * F.lit(1 << 32) + F.col("n")
-    revealed = second.where(f"kind = {_OPEN}").groupBy("doc_id", "v").agg(F.collect_list(code).alias("open")).select(F.col("doc_id").alias("o_id"), F.col("v").alias("o_v"), "open")
-    met = texts.join(revealed, (F.col("doc_id") == F.col("o_id")) & (F.col("v") == F.col("o_v"))).drop("o_id", "o_v")
-    third = written(met.mapInArrow(windows, schema), "recompression-windows")
-    same = ranked(third.where(f"kind = {_OPEN}").select("a", "b", *_PLACE), ("a", "b"), _PLACE, "recompression-ranks")
+    # No shuffle outlives the table that is written from it.
+    with swept(texts.sparkSession):
+        first = written(texts.mapInArrow(named, schema), "recompression-anchors")
+        order = ["a", "b", *_PLACE]
+        sorted_ = first.where(f"kind = {_OPEN}").drop("kind").repartitionByRange(*order).sortWithinPartitions(*order)
+        second = written(sorted_.mapInArrow(classes, f"kind tinyint, doc_id {key}, v int, at int, n int"), "recompression-classes")
+        known = written(first.where(f"kind = {_LATER}").select(*_PLACE, "n"), "recompression-known")
+        dropped(first)
+        code = F.col("at").cast("long") * F.lit(1 << 32) + F.col("n")
+        revealed = second.where(f"kind = {_OPEN}").groupBy("doc_id", "v").agg(F.collect_list(code).alias("open")).select(F.col("doc_id").alias("o_id"), F.col("v").alias("o_v"), "open")
+        met = texts.join(revealed, (F.col("doc_id") == F.col("o_id")) & (F.col("v") == F.col("o_v"))).drop("o_id", "o_v")
+        third = written(met.mapInArrow(windows, schema), "recompression-windows")
+        same = ranked(third.where(f"kind = {_OPEN}").select("a", "b", *_PLACE), ("a", "b"), _PLACE, "recompression-ranks")
     late = [known, *(t.where(f"kind = {_LATER}").select(*_PLACE, "n") for t in (second, third)), same.where("later").select(*_PLACE, F.lit(1).alias("n"))]
     return late[0].unionByName(late[1]).unionByName(late[2]).unionByName(late[3])
 

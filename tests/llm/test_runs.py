@@ -88,6 +88,21 @@ def test_windows_of_few_words(spark, monkeypatch):
     assert got == brute_windows(rows, 20)
 
 
+def test_windows_leave_no_shuffles(spark):
+    """What the tables of the repeats shuffled is gone once they are written; the setting is as before."""
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in (found.apply(i).getName() for i in range(found.size())) if x.startswith("shuffle_")}
+
+    rows = [(i, " ".join(f"w{(i // 3) * k}" for k in range(60 + i))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "hash(text) AS v", "text").repartition(4)
+    before = files()
+    found = substrings.repeats(docs)
+    assert files() <= before and spark.conf.get(common._CLEANUP, "false") == "false"
+    assert len({r["doc_id"] for r in found.collect()}) == sum(n > 0 for _, n, _ in brute_windows(rows, 20).values())
+
+
 def test_slices_overlap_by_a_window(monkeypatch):
     monkeypatch.setattr(substrings, "SLICE", 200)
     rng = random.Random(6)
